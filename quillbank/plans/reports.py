@@ -3,15 +3,24 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillbank import fixed_values as fv
+from quillbank.plans.migrate import counters
+
+
+def _each(classified: DataFrame, column: str) -> DataFrame:
+    """One row per finding.
+
+    The outer form keeps the optimizer from adding a size filter below, which
+    it would evaluate by running the rules twice.
+    """
+    return classified.select(
+        "path", "filename", "question_id", F.posexplode_outer(column).alias("seq", "x"),
+    ).where("x IS NOT NULL")
 
 
 def errors(classified: DataFrame) -> DataFrame:
     """One row per error, with the eight report columns and the place of the finding."""
     x = F.col("x")
-    return classified.select(
-        "path", "filename", "question_id", F.posexplode("errors").alias("seq", "x"),
-    ).select(
+    return _each(classified, "errors").select(
         F.col("filename").alias("Filename"),
         F.col("question_id").alias("Question ID"),
         x["stage"].alias("Error Type"),
@@ -27,9 +36,7 @@ def errors(classified: DataFrame) -> DataFrame:
 
 def warnings(classified: DataFrame) -> DataFrame:
     """One row per warning."""
-    return classified.select(
-        "path", "filename", "question_id", F.posexplode("warnings").alias("seq", "x"),
-    ).select(
+    return _each(classified, "warnings").select(
         F.col("filename").alias("Filename"),
         F.col("question_id").alias("Question ID"),
         F.col("x")["message"].alias("Warning Message"),
@@ -40,16 +47,7 @@ def warnings(classified: DataFrame) -> DataFrame:
 
 def summary(classified: DataFrame) -> DataFrame:
     """Run counters in one row; the rate is NULL for an empty bank."""
-    def count_of(outcome):
-        return F.count_if(F.col("outcome") == outcome)
-    counted = classified.agg(
-        F.count(F.lit(1)).alias("total"),
-        count_of(fv.CONVERTED).alias("success"),
-        count_of(fv.PRE_FAILED).alias("pre_failed"),
-        count_of(fv.CONVERSION_FAILED).alias("conversion_failed"),
-        count_of(fv.POST_FAILED).alias("post_failed"),
-        F.coalesce(F.sum(F.size("warnings").cast("bigint")), F.lit(0)).alias("warnings"),
-    )
+    counted = classified.agg(*counters())
     total, success = F.col("total"), F.col("success")
     return counted.select(
         "total", "success", "pre_failed", "conversion_failed", "post_failed",
@@ -62,7 +60,7 @@ def summary(classified: DataFrame) -> DataFrame:
 def errors_by_type(classified: DataFrame) -> DataFrame:
     """Error rows per stage."""
     return (
-        classified.select(F.explode("errors").alias("x"))
+        _each(classified, "errors")
         .groupBy(F.col("x")["stage"].alias("error_type")).agg(F.count(F.lit(1)).alias("n_errors"))
     )
 
@@ -70,7 +68,7 @@ def errors_by_type(classified: DataFrame) -> DataFrame:
 def errors_by_rule(classified: DataFrame) -> DataFrame:
     """Error rows per stage and rule."""
     return (
-        classified.select(F.explode("errors").alias("x"))
+        _each(classified, "errors")
         .groupBy(F.col("x")["stage"].alias("error_type"), F.col("x")["rule_id"].alias("rule_id"))
         .agg(F.count(F.lit(1)).alias("n_errors"))
     )
