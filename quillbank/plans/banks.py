@@ -360,9 +360,14 @@ def mixed_bank(spark, sf_dir) -> DataFrame:
         where = f"slot = {slot}" if part_type == "*" else (
             f"slot = {slot} AND type_no = {fv.PART_TYPES.index(part_type)}")
         grouped.setdefault((find, put), []).append(where)
-    raw = case(*[(" OR ".join(f"({w})" for w in ws), f"replace(sound, {lit(find)}, {lit(put)})")
-                 for (find, put), ws in grouped.items()], otherwise="sound")
-    return as_bank(df.selectExpr("*", f"{raw} AS raw"), "id")
+    # one reference to the sound text: the fault only selects what to replace by what
+    find = case(*[(_any(ws), lit(f)) for (f, _), ws in grouped.items()], otherwise="''")
+    put = case(*[(_any(ws), lit(p)) for (_, p), ws in grouped.items()], otherwise="''")
+    return as_bank(df.selectExpr("*", f"replace(sound, {find}, {put}) AS raw"), "id")
+
+
+def _any(conditions) -> str:
+    return " OR ".join(f"({c})" for c in conditions)
 
 
 def _types() -> str:
@@ -466,11 +471,13 @@ def converted_bank(spark, sf_dir) -> DataFrame:
              ", '}]}}')")
     df = orders(spark, sf_dir).selectExpr(
         "*", f"id % {len(types)} AS type_no", f"k % {CONVERTED_SLOTS} AS slot").selectExpr("*", f"{sound} AS sound")
-    cases = []
-    for part_type, slot, find, put, _ in CONVERTED_FAULTS:
+    find, put = [], []
+    for part_type, slot, old, new, _ in CONVERTED_FAULTS:
         of_type = "" if part_type == "*" else f" AND type_no = {types.index(part_type)}"
-        cases.append((f"slot = {slot}{of_type}", f"replace(sound, {lit(find)}, {lit(put)})"))
-    return df.selectExpr("id", f"{case(*cases, otherwise='sound')} AS converted_json")
+        find.append((f"slot = {slot}{of_type}", lit(old)))
+        put.append((f"slot = {slot}{of_type}", lit(new)))
+    text = f"replace(sound, {case(*find, otherwise=lit(''))}, {case(*put, otherwise=lit(''))})"
+    return df.selectExpr("id", f"{text} AS converted_json")
 
 
 def converted_fault_cases():

@@ -287,7 +287,7 @@ def common_metadata(spark, sf_dir):
         "\"country\":\"', CASE WHEN id % 2 = 0 THEN 'us' ELSE 'IN' END, '\",\"question_id\":\"', id, '\","
         "\"subject\":\"', get(vals, 5), '\",\"subject_id\":', k, ',\"grade\":', "
         "CASE WHEN k % 3 = 0 THEN 'null' WHEN k % 3 = 1 THEN '4' ELSE '\"4\"' END, "
-        "',\"grade_id\":', CASE WHEN k % 2 = 0 THEN 'true' ELSE id END, ',\"section_id\":\"', day, '\"', "
+        "',\"grade_id\":', CASE WHEN k % 2 = 0 THEN 'true' ELSE CAST(id AS string) END, ',\"section_id\":\"', day, '\"', "
         "CASE WHEN id % 3 = 0 THEN '' ELSE ',\"source\":\"scan\"' END, '}')")
     df = banks.orders(spark, sf_dir).selectExpr("*", f"{raw} AS raw")
     fields = rs.common_metadata()
@@ -299,7 +299,7 @@ def common_metadata(spark, sf_dir):
 
 def value_tests(spark, sf_dir):
     """Emptiness, truth, integer test and printed form of values of every JSON type."""
-    value = ("element_at(array('null', '\"\"', '\"  \"', '[]', '{}', '0', 'false', 'true', '1.0', '2.5', event_id, "
+    value = ("element_at(array('null', '\"\"', '\"  \"', '[]', '{}', '0', 'false', 'true', '1.0', '2.5', CAST(event_id AS string), "
              "concat('\"', event_type, '\"'), '[0]', props), CAST(event_id % 14 AS int) + 1)")
     df = banks.table(spark, sf_dir, "events", "event_id").selectExpr("event_id AS id", f"parse_json({value}) AS v")
     return df.selectExpr("id", f"{is_empty('v')} AS empty", f"{is_falsy('v')} AS falsy",
