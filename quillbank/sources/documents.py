@@ -17,10 +17,16 @@ REFERENCE_COLUMNS = ["base_question_id", "section_id", "language", "subject", "g
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Session settings the results or the plans depend on."""
+    """Session settings the results or the plans depend on.
+
+    Rules and conversions are wide expressions.  Fused into one whole-stage
+    method they pass the size up to which the JVM compiles a method, and run
+    interpreted; as separate projections Spark splits them into small methods.
+    """
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
     return spark
 
 
