@@ -330,8 +330,9 @@ def enrich_first_match(spark, sf_dir):
 
 def category_routing(spark, sf_dir):
     """Documents per enrichment folder."""
-    routed = en.with_category(banks.mixed_bank(spark, sf_dir)).where("readable")
-    return routed.groupBy("category").agg(F.count(F.lit(1)).alias("n_documents"))
+    routed = en.with_category(banks.mixed_bank(spark, sf_dir))
+    counted = routed.groupBy("category").agg(F.count_if("readable").alias("n_documents"))
+    return counted.where("n_documents > 0")
 
 
 def strip_p_attrs(spark, sf_dir):

@@ -65,8 +65,8 @@ def filter_types(documents: DataFrame, types) -> DataFrame:
 
     Needs the columns of ``with_fields``.
     """
-    return documents.where(
-        f"NOT exists(parts, p -> p IS NULL) AND arrays_overlap({rs.question_types()}, {array(types)})")
+    wanted = f"NOT exists(ps, p -> p IS NULL) AND arrays_overlap({rs.question_types('ps')}, {array(types)})"
+    return documents.where(let("parts", "ps", wanted))
 
 
 def read_reference(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
