@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillbank.llm import decontaminate, exact_dedup, mixing, simhash, toxicity
+from quillbank.llm import decontaminate, exact_dedup, mixing, simhash, substring_dedup, toxicity
 from quillbank.llm.frames import table, unpacked
 
 
@@ -26,6 +26,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.with_removal(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"), "found.n_words", "found.n_removed",
+        F.sha2(F.col("found.kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -35,7 +43,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.allotments(table(spark, sf_dir, "documents")).drop("shards")
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_toxicity, op4_decontamination, op7_simhash, op8_mixing)}
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_toxicity, op4_decontamination, op5_substring_dedup, op7_simhash, op8_mixing)}
 
 #: A-Z lower-cased only, as the contracts have it.
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
