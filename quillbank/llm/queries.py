@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillbank.llm import decontaminate, exact_dedup, mixing, simhash, substring_dedup, toxicity
+from quillbank.llm import chat, decontaminate, exact_dedup, html_content, mixing, simhash, substring_dedup, toxicity
 from quillbank.llm.frames import table, unpacked
 
 
@@ -43,7 +43,22 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.allotments(table(spark, sf_dir, "documents")).drop("shards")
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_toxicity, op4_decontamination, op5_substring_dedup, op7_simhash, op8_mixing)}
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_content.with_main_text(table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return unpacked(found, ["text"]).select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+#: A conversation of nothing but control strings.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], given.schema)
+    return chat.read_back(chat.format_conversations(given.union(added)))
+
+
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_toxicity, op4_decontamination, op5_substring_dedup, op7_simhash, op8_mixing, op9_html_extraction, op10_chat_formatting)}
 
 #: A-Z lower-cased only, as the contracts have it.
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
