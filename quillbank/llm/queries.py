@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillbank.llm import chat, decontaminate, exact_dedup, html_content, mixing, simhash, substring_dedup, toxicity
+from quillbank.llm import chat, decontaminate, exact_dedup, html_content, licenses, mixing, secrets, simhash, substring_dedup, toxicity
 from quillbank.llm.frames import table, unpacked
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no path; they get one by source and id, in which some stand for the licence files of directories."""
+    name = F.when(F.col("doc_id") % 50 == 0, "LICENSE").otherwise(F.format_string("%d.txt", "doc_id"))
+    folder = F.when(F.col("doc_id") % 1000 == 0, F.format_string("/%d", F.expr("doc_id div 10000"))).otherwise(
+        F.format_string("/%d/%d", F.expr("doc_id div 10000"), F.expr("doc_id div 1000")))
+    folder = F.when(F.col("doc_id") % 10000 == 0, "").otherwise(folder)
+    files = table(spark, sf_dir, "documents").select("doc_id", F.concat("source", folder, F.lit("/"), name).alias("path"), "text")
+    return licenses.licenses(files)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
@@ -34,6 +44,15 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The value of a finding is shown by its digest."""
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("path"), "text"))
+    return found.select(
+        "doc_id", "line_no", "word_no", "part", F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"), "coverage", "score", "secret",
+        secrets.held_out(F.col("doc_id")).alias("held_out"),
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -58,7 +77,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(given.union(added)))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_toxicity, op4_decontamination, op5_substring_dedup, op7_simhash, op8_mixing, op9_html_extraction, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (
+    op1_license_scan, op2_exact_dedup, op3_toxicity, op4_decontamination, op5_substring_dedup, op6_secret_scan, op7_simhash, op8_mixing,
+    op9_html_extraction, op10_chat_formatting,
+)}
 
 #: A-Z lower-cased only, as the contracts have it.
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
