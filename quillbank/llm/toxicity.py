@@ -160,7 +160,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mach
     feature = np.full(BUCKETS, -1, np.int16)
     feature[chosen_buckets] = np.arange(len(chosen_buckets))
     weight = np.frombuffer(bytes(model.weight))
-    return Machine(feature, model.bias, weight, np.frombuffer(bytes(model.factor)).reshape(len(weight), -1))
+    return Machine(feature, model.bias, weight, np.frombuffer(bytes(model.factor)).reshape(len(weight), FACTORS))
 
 
 def with_score(documents: DataFrame, machine: Machine | None, keep: list[str] | None = None) -> DataFrame:
