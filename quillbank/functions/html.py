@@ -8,6 +8,7 @@ other token lists with single spaces, void tags as ``<img/>``, text with only
 """
 
 import json
+import re
 import sys
 from collections import Counter
 from html.entities import html5
@@ -189,13 +190,18 @@ def outline_of(fragment):
         divs = []
         if len(top) == 1 and top[0].name == "div":
             divs = [write_fragment(t) for t in top[0].tags() if t.name == "div"]
-        return (len(top), top[0].name if top else None, divs, None)
+        first = top[0].name if top else None
+        "".join([first or "", *divs]).encode()  # a lone surrogate is no text
+        return (len(top), first, divs, None)
     except Exception as e:
-        return (None, None, [], str(e))
+        return (None, None, [], str(e).encode("utf-8", "replace").decode())
 
 
 def without_p_attributes(fragment):
-    """The fragment itself when no ``<p>`` has attributes, else its canonical text without them."""
+    """The fragment itself when no ``<p>`` has attributes, else its canonical text without them.
+
+    The text may hold a lone surrogate, which only its reader can judge.
+    """
     if "<p" not in fragment:
         return fragment
     try:
@@ -211,31 +217,59 @@ def without_p_attributes(fragment):
         return fragment
 
 
-def _clean_value(value):
-    if isinstance(value, str):
-        return without_p_attributes(value)
-    if isinstance(value, list):
-        return [_clean_value(v) for v in value]
-    if isinstance(value, dict):
-        return {k: _clean_value(v) for k, v in value.items()}
-    return value
+# A string of a JSON text; with a colon behind it, a key.
+JSON_STRING = re.compile(r'("(?:[^"\\]|\\.)*")(\s*:)?', re.S)
+
+
+def _clean_string(found):
+    literal, colon = found.groups()
+    if colon:
+        return found[0]
+    text = json.loads(literal, strict=False)
+    cleaned = without_p_attributes(text)
+    return literal if cleaned is text else json.dumps(cleaned, ensure_ascii=False)
+
+
+def is_json(raw):
+    """Whether the text is valid; one nested deeper than the parser goes is left to its reader."""
+    try:
+        json.loads(raw)
+    except RecursionError:
+        pass
+    except ValueError:
+        return False
+    return True
 
 
 def clean_document_text(raw):
-    """One JSON document with every string cleaned; NULL if it cannot be read."""
+    """A JSON text with every string value cleaned, all else as it was; NULL if it or the result is no text."""
     try:
-        return json.dumps(_clean_value(json.loads(raw)), ensure_ascii=False)
-    except (ValueError, RecursionError):
+        if not is_json(raw):
+            return None
+        cleaned = JSON_STRING.sub(_clean_string, raw)
+        cleaned.encode()
+        return cleaned
+    except Exception:
         return None
 
 
+def stripped(fragment):
+    """``without_p_attributes``, or the fragment where the result holds a lone surrogate."""
+    cleaned = without_p_attributes(fragment)
+    try:
+        cleaned.encode()
+        return cleaned
+    except UnicodeEncodeError:
+        return fragment
+
+
 def _outlines(fragments: pd.Series) -> pd.DataFrame:
     rows = [outline_of(f) or (None, None, None, None) for f in fragments]
     return pd.DataFrame(rows, columns=["n_top", "first_tag", "child_divs", "error"]).astype({"n_top": "Int32"})
 
 
 def _stripped(fragments: pd.Series) -> pd.Series:
-    return fragments.map(without_p_attributes, na_action="ignore")
+    return fragments.map(stripped, na_action="ignore")
 
 
 def _cleaned(documents: pd.Series) -> pd.Series:
@@ -251,14 +285,19 @@ def html_outline(text: Column) -> Column:
     return F.pandas_udf(_outlines, OUTLINE)(text)
 
 
+# Something other than the end behind <p, in text and in JSON text, where a space or the letters may be escaped.
+P_WITH_MORE = r"(?i)<p[\s/]+[^\s/>]"
+P_WITH_MORE_IN_JSON = r"(?i)<p([\s/]|\\[nrtbfu/])|\\u003c|\\u0070|\\u0050"
+
+
 def strip_p_attributes(text: Column) -> Column:
-    """``<p>`` attributes removed; text without ``<p`` reaches Python only as NULL."""
-    needed = F.contains(text, F.lit("<p"))
+    """``<p>`` attributes removed; text without any reaches Python only as NULL."""
+    needed = text.rlike(P_WITH_MORE)
     return F.coalesce(F.pandas_udf(_stripped, "string")(F.when(needed, text)), text)
 
 
 def clean_document(raw: Column, readable: Column) -> Column:
     """A cleaned JSON document; unreadable ones come out NULL, untouched ones as they are."""
-    needed = F.contains(raw, F.lit("<p")) | raw.rlike(r"\\u003[cC]|\\u0070")
+    needed = raw.rlike(P_WITH_MORE_IN_JSON)
     cleaned = F.pandas_udf(_cleaned, "string")(F.when(readable & needed, raw))
     return F.when(readable, F.when(needed, cleaned).otherwise(raw))

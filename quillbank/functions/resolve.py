@@ -78,9 +78,10 @@ def source(root: str = "root") -> str:
     return f"coalesce({root}.source, CAST({lit(fv.DEFAULT_SOURCE)} AS variant))"
 
 
-def question_types(parts: str = "parts") -> str:
-    """Type of every part, ``unknown`` where the key is missing."""
-    return f"transform({parts}, p -> CASE WHEN p.type IS NULL THEN 'unknown' ELSE p.t END)"
+def question_types(parts: str = "parts", text: bool = False) -> str:
+    """Type of every part, ``unknown`` where the key is missing; ``text`` for parts without ``t``."""
+    own = string_of("p.type") if text else "p.t"
+    return f"transform({parts}, p -> CASE WHEN p.type IS NULL THEN 'unknown' ELSE {own} END)"
 
 
 def common_metadata(root: str = "root", meta: str = "meta", parts: str = "parts") -> dict:

@@ -2,7 +2,7 @@
 
 import unicodedata
 
-from quillbank.functions.sql import lit
+from quillbank.functions.sql import case, let, lit
 
 # Unicode whitespace plus the four ASCII separators.
 SPACE = r"[\s\x1C-\x1F]"
@@ -48,14 +48,26 @@ def ascii_digits(text: str) -> str:
 def json_number(text: str) -> str:
     """A number in text form as VARIANT, NULL where it is not one.
 
-    Whole values come out as integers.
+    Whole values come out as integers, digit by digit as they are written, up to
+    the 38 digits an integer of a VARIANT can have; larger ones are doubles.
     """
-    whole, decimal = lit(r"\A-?[0-9]{1,38}\z"), lit(r"\A-?[0-9]+(\.[0-9]+)?([Ee][-+]?[0-9]+)?\z")
+    whole, decimal = lit(r"\A-?[0-9]+(\.0*)?\z"), lit(r"\A-?[0-9]+(\.[0-9]+)?([Ee][-+]?[0-9]+)?\z")
     number = "try_cast(x AS double)"
+    integer = f"try_cast(CASE WHEN x RLIKE {whole} THEN substring_index(x, '.', 1) WHEN floor({number}) = {number} THEN x END AS decimal(38,0))"
     return (
-        f"get(transform(array({ascii_digits(text)}), x -> CASE "
-        f"WHEN x RLIKE {whole} THEN CAST(try_cast(x AS decimal(38,0)) AS variant) "
-        f"WHEN x RLIKE {decimal} AND abs({number}) < 1e15 AND floor({number}) = {number} "
-        f"THEN CAST(CAST({number} AS bigint) AS variant) "
-        f"WHEN x RLIKE {decimal} THEN CAST({number} AS variant) END), 0)"
+        f"get(transform(array({ascii_digits(text)}), x -> CASE WHEN x RLIKE {decimal} "
+        f"THEN coalesce(CAST({integer} AS variant), CAST({number} AS variant)) END), 0)"
     )
+
+
+def float_text(number: str) -> str:
+    """A double as Python prints it: plain from 1e-4 to 1e16, else with an exponent of two digits or more."""
+    plain = r"rtrim('0', CAST(CAST(s AS decimal(38,21)) AS string))"
+    exponent = "CAST(substring_index(s, 'E', -1) AS int)"
+    scientific = (f"concat(regexp_replace(substring_index(s, 'E', 1), '[.]0$', ''), 'e', CASE WHEN {exponent} < 0 THEN '-' ELSE '+' END, "
+                  f"lpad(CAST(abs({exponent}) AS string), greatest(2, length(CAST(abs({exponent}) AS string))), '0'))")
+    return let(f"CAST({number} AS string)", "s", case(
+        ("s NOT LIKE '%E%'", "CASE WHEN s LIKE '%Infinity' THEN replace(s, 'Infinity', 'inf') ELSE lower(s) END"),
+        (f"{exponent} BETWEEN -4 AND 15", f"regexp_replace({plain}, '[.]$', '.0')"),
+        otherwise=scientific,
+    ))

@@ -5,7 +5,7 @@ definite true or false for a NULL input.
 """
 
 from quillbank.functions.sql import case, lit
-from quillbank.functions.text import is_blank
+from quillbank.functions.text import float_text, is_blank
 
 INTEGER_KIND = lit(r"^(BIGINT|BOOLEAN|DECIMAL\((19|2[0-9]|3[0-8]),0\))$")
 WIDE_INTEGER_KIND = lit(r"^(BIGINT|DECIMAL\((19|2[0-9]|3[0-8]),0\))$")
@@ -124,7 +124,7 @@ def shown(v: str) -> str:
         (f"{kind(v)} = 'VOID'", "'None'"),
         (is_boolean(v), f"initcap({text})"),
         (f"{kind(v)} RLIKE {WIDE_INTEGER_KIND}", text),
-        (f"{kind(v)} RLIKE {NUMBER_KIND}", f"CAST({field(v, '$', 'double')} AS string)"),
+        (f"{kind(v)} RLIKE {NUMBER_KIND}", float_text(field(v, "$", "double"))),
         otherwise=f"to_json({v})",
     )
 

@@ -1,22 +1,42 @@
 """Removal of ``<p>`` attributes from every string of a document."""
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillbank.functions.html import clean_document
 from quillbank.sources.documents import configure, parsed
 
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
+def base_folders(spark: SparkSession, base_path: str) -> list[str]:
+    """The base folder as given and as the file system qualifies it, without scheme and host."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base_path)
+    qualified = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path)
+    given = re.sub(SCHEME, "", base_path).rstrip("/")
+    return list(dict.fromkeys([qualified.toUri().getPath().rstrip("/"), given]))
+
+
+def relative_path(path: Column, folders: list[str]) -> Column:
+    """``path`` below the first of ``folders`` that it starts with; a path outside of all stays whole.
+
+    Whole segments are compared, so ``in`` is no folder of ``plugin/in/x`` and no two paths share a key.
+    """
+    local = F.regexp_replace(path, SCHEME, "")
+    below = [F.when(F.startswith(local, F.lit(f + "/")), F.substring(local, len(f) + 2, 1 << 30)) for f in folders]
+    return F.coalesce(*below, path)
+
 
 def clean(documents: DataFrame, base_path: str = "") -> DataFrame:
     """Adds ``rel_path`` and ``cleaned_json``; the text is NULL for unreadable documents.
 
-    Only texts that hold ``<p`` go to Python.
+    Only documents with a ``<p`` that may have attributes go to Python.
     """
-    configure(documents.sparkSession)
+    spark = configure(documents.sparkSession)
     readable = F.expr(f"({parsed('raw')}) IS NOT NULL")
-    start = F.length(F.lit(base_path.rstrip("/"))) + 2 if base_path else F.lit(1)
-    rel_path = F.col("path").substr(F.instr("path", F.lit(base_path)) - 1 + start, F.length("path")) \
-        if base_path else F.col("path")
+    rel_path = relative_path(F.col("path"), base_folders(spark, base_path)) if base_path else F.col("path")
     return documents.withColumns({
         "rel_path": rel_path,
         "cleaned_json": clean_document(F.col("raw"), readable),

@@ -22,18 +22,13 @@ ORDER_VALUES = (
 ARABIC_ZERO_TO_NINE = "٠١٢٣٤٥٦٧٨٩"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A table, spread over the cores by its key when it has fewer splits than cores."""
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, key)
-    return df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def orders(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "orders", "o_orderkey").selectExpr(
+    return table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS id", "o_custkey AS k", f"{ORDER_VALUES} AS vals",
         "date_format(o_orderdate, 'yyyy-MM-dd') AS day")
 
@@ -105,7 +100,7 @@ def counting_bank(spark, sf_dir) -> DataFrame:
     digits = f"CASE WHEN id % 2 = 1 THEN translate(p_size, '0123456789', '{ARABIC_ZERO_TO_NINE}') ELSE p_size END"
     body = (f"concat('\"choices\":[],\"answer\":\"', {digits}, '\",\"grid_size\":\"', 1 + p_size % 9, '×', "
             "1 + id % 12, '\"')")
-    df = table(spark, sf_dir, "part", "p_partkey").selectExpr(
+    df = table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS id", "CAST(p_size AS string) AS p_size")
     return as_bank(df.selectExpr("*", f"{document(part(lit('counting'), body))} AS raw"), "id")
 
@@ -118,7 +113,7 @@ def puzzle_bank(spark, sf_dir) -> DataFrame:
             "'\",\"puzzleImage\":\"', p_brand, '\",\"puzzleImageWidth\":\"100\",\"puzzleImageHeight\":\"80\","
             "\"puzzleImageSplited\":[', array_join(transform(sequence(0, CAST(n AS int) - 1), j -> " + piece +
             "), ','), ']')")
-    df = table(spark, sf_dir, "part", "p_partkey").selectExpr(
+    df = table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS id", "p_size", "p_brand", "(1 + p_partkey % 4) * (1 + p_size % 3) AS n")
     return as_bank(df.selectExpr("*", f"{document(part(lit('puzzle'), body))} AS raw"), "id")
 
@@ -133,7 +128,7 @@ def input_bank(spark, sf_dir) -> DataFrame:
             "',\"constrains\":{\"type\":\"decimal\"', "
             "CASE WHEN user_id % 3 = 0 THEN ',\"sign\":\"mustBeExplicit\",\"must_have_exactly_ndp\":2' ELSE '' END, "
             "'}}')")
-    df = table(spark, sf_dir, "events", "event_id").selectExpr("event_id AS id", "user_id", "event_type", "value")
+    df = table(spark, sf_dir, "events").selectExpr("event_id AS id", "user_id", "event_type", "value")
     return as_bank(df.selectExpr("*", f"{document(part(lit('input_box'), body))} AS raw"), "id")
 
 
@@ -155,7 +150,7 @@ def gap_bank(spark, sf_dir) -> DataFrame:
     The keys stand in reverse order, after one key that belongs nowhere.
     """
     span = "'<span class=\"g\" data-node-variation=\"gap\">...</span>'"
-    df = table(spark, sf_dir, "documents", "doc_id").selectExpr("doc_id AS id", "split(text, ' ') AS words")
+    df = table(spark, sf_dir, "documents").selectExpr("doc_id AS id", "split(text, ' ') AS words")
     df = df.selectExpr(
         "id",
         f"array_join(transform(words, (w, i) -> CASE WHEN i % 11 = 3 THEN {span} ELSE w END), ' ') AS stem",
@@ -169,11 +164,11 @@ def gap_bank(spark, sf_dir) -> DataFrame:
 
 
 def turns(spark, sf_dir) -> DataFrame:
-    """Every user turn with the turn that follows it."""
-    df = table(spark, sf_dir, "conversations", "conv_id")
-    asked = df.where("role = 'user'").selectExpr("conv_id", "turn", "text AS question")
+    """Every turn with the assistant's reply that follows it, if one does."""
+    df = table(spark, sf_dir, "conversations")
+    asked = df.selectExpr("conv_id", "turn", "text AS question")
     told = df.where("role = 'assistant'").selectExpr("conv_id", "turn - 1 AS turn", "text AS reply")
-    return asked.join(told, ["conv_id", "turn"])
+    return asked.join(told, ["conv_id", "turn"], "left")
 
 
 def turn_bank(spark, sf_dir, part_type: str) -> DataFrame:
@@ -183,7 +178,7 @@ def turn_bank(spark, sf_dir, part_type: str) -> DataFrame:
     own = {
         "frq": "'choices', CAST(array() AS array<int>), 'answer', reply, "
                "'ai', named_struct('ai_template_id', 123456789000 + turn)",
-        "string": "'answer', array(reply, question), "
+        "string": "'answer', array_compact(array(reply, question)), "
                   f"'ai', named_struct('ai_template_id', 593158513739, 'guidelines', {guideline})",
     }[part_type]
     parts = (f"array(named_struct('n', 1, 'type', '{part_type}', 'stem', question, 'standalone', true, {own}))")
@@ -198,7 +193,7 @@ def escaped(text: str) -> str:
 
 def line_bank(spark, sf_dir) -> DataFrame:
     """One part per line of the document, and a root answer with a ``<div>`` per line."""
-    df = table(spark, sf_dir, "documents", "doc_id").selectExpr("doc_id AS id", "split(text, '\\n') AS lines")
+    df = table(spark, sf_dir, "documents").selectExpr("doc_id AS id", "split(text, '\\n') AS lines")
     parts = ("transform(lines, (x, i) -> named_struct('n', i + 1, 'type', 'frq', 'stem', x, 'standalone', true, "
              "'choices', CAST(array() AS array<int>), 'answer', x, "
              "'ai', named_struct('ai_template_id', 123456789000)))")
@@ -210,7 +205,7 @@ def line_bank(spark, sf_dir) -> DataFrame:
 def html_lines(spark, sf_dir) -> DataFrame:
     """The document's text as HTML paragraphs, every other one with attributes."""
     line = (f"concat(CASE WHEN i % 2 = 0 THEN '<p class=\"c\" id=\"i\">' ELSE '<p>' END, {escaped('x')}, '</p>')")
-    return table(spark, sf_dir, "documents", "doc_id").selectExpr(
+    return table(spark, sf_dir, "documents").selectExpr(
         "doc_id AS id", f"array_join(transform(split(text, '\\n'), (x, i) -> {line}), '\\n') AS html")
 
 

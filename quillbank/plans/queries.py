@@ -244,7 +244,7 @@ def _code_bank(spark, sf_dir, key, codes):
         return f"CASE WHEN {word} = '' THEN '' ELSE concat(',\"{key}\":', {word}) END"
     raw = (f"concat('{{\"parts\":[],\"metadata\":{{\"id\":1', {member(f'(id DIV {len(codes)})')}, '}}', "
            f"{member('id')}, '}}')")
-    df = banks.table(spark, sf_dir, "customer", "c_custkey").selectExpr("c_custkey AS id")
+    df = banks.table(spark, sf_dir, "customer").selectExpr("c_custkey AS id")
     return with_fields(banks.as_bank(df.selectExpr("*", f"{raw} AS raw"), "id"))
 
 
@@ -301,13 +301,13 @@ def value_tests(spark, sf_dir):
     """Emptiness, truth, integer test and printed form of values of every JSON type."""
     value = ("element_at(array('null', '\"\"', '\"  \"', '[]', '{}', '0', 'false', 'true', '1.0', '2.5', CAST(event_id AS string), "
              "concat('\"', event_type, '\"'), '[0]', props), CAST(event_id % 14 AS int) + 1)")
-    df = banks.table(spark, sf_dir, "events", "event_id").selectExpr("event_id AS id", f"parse_json({value}) AS v")
+    df = banks.table(spark, sf_dir, "events").selectExpr("event_id AS id", f"parse_json({value}) AS v")
     return df.selectExpr("id", f"{is_empty('v')} AS empty", f"{is_falsy('v')} AS falsy",
                          f"{is_integer('v')} AS whole", f"{shown('v')} AS printed")
 
 
 def normalized_text(spark, sf_dir):
-    return banks.table(spark, sf_dir, "documents", "doc_id").selectExpr(
+    return banks.table(spark, sf_dir, "documents").selectExpr(
         "doc_id", f"{normalize_text('concat(\' \\t\', text, \'\\n\\n\')')} AS normalized")
 
 
@@ -319,7 +319,7 @@ def enrich_first_match(spark, sf_dir):
            "'],\"metadata\":{\"note\":\"', day, '\"', CASE WHEN k % 5 = 0 THEN '' ELSE concat(',\"mapped_id\":', id) END, "
            "'},\"grade\":9}')")
     docs = banks.as_bank(banks.orders(spark, sf_dir).selectExpr("*", f"{raw} AS raw"), "id")
-    reference = banks.table(spark, sf_dir, "lineitem", "l_orderkey").selectExpr(
+    reference = banks.table(spark, sf_dir, "lineitem").selectExpr(
         "CAST(l_orderkey AS string) AS base_question_id", "CAST(l_partkey AS string) AS section_id",
         "l_returnflag AS language", "CAST(l_suppkey AS string) AS subject",
         "CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE CAST(l_linenumber AS string) END AS grade",
@@ -352,7 +352,7 @@ def clean_documents(spark, sf_dir):
 
 def clean_pages(spark, sf_dir):
     """Whole web pages, with attributes put on their paragraphs."""
-    df = banks.table(spark, sf_dir, "pages", "page_id").selectExpr(
+    df = banks.table(spark, sf_dir, "pages").selectExpr(
         "page_id", "replace(html, '<p>', '<p class=\"c\">') AS html")
     return df.select("page_id", strip_p_attributes(F.col("html")).alias("html"))
 

@@ -1,6 +1,6 @@
 """Scans: question documents and the reference table for enrichment."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillbank.functions import resolve as rs
@@ -17,26 +17,26 @@ REFERENCE_COLUMNS = ["base_question_id", "section_id", "language", "subject", "g
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Session settings the results or the plans depend on.
-
-    Rules and conversions are wide expressions.  Fused into one whole-stage
-    method they pass the size up to which the JVM compiles a method, and run
-    interpreted; as separate projections Spark splits them into small methods.
-    """
+    """The one session setting results depend on: of a repeated JSON key the last value counts."""
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.codegen.wholeStage", "false")
     return spark
 
 
+def decoded(uri: Column) -> Column:
+    """A file name or path as it is on disk; Spark lists them percent-encoded."""
+    return F.coalesce(F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), uri)
+
+
 def read_documents(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """One row per ``*.json`` file under ``path``: ``path, filename, raw``."""
+    """One row per ``*.json`` file under ``path``: ``path, filename, raw``.
+
+    Path and name are written as on disk, so ``1 x.json`` is not ``1%20x.json``.
+    """
     configure(spark)
     scan = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.json")
     return scan.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_name").alias("filename"),
+        decoded(F.col("_metadata.file_path")).alias("path"),
+        decoded(F.col("_metadata.file_name")).alias("filename"),
         F.col("value").alias("raw"),
     )
 
@@ -63,10 +63,12 @@ def with_fields(documents: DataFrame, raw: str = "raw") -> DataFrame:
 def filter_types(documents: DataFrame, types) -> DataFrame:
     """Documents having any part of the given types; unreadable ones are left out.
 
-    Needs the columns of ``with_fields``.
+    Reads the types alone, from ``doc`` where ``with_fields`` has made it, else from the text.
     """
-    wanted = f"NOT exists(ps, p -> p IS NULL) AND arrays_overlap({rs.question_types('ps')}, {array(types)})"
-    return documents.where(let("parts", "ps", wanted))
+    doc = "doc" if "doc" in documents.columns else parsed("raw")
+    each = field(doc, "$.parts", "array<struct<type:variant>>")
+    wanted = f"NOT exists(ps, p -> p IS NULL) AND arrays_overlap({rs.question_types('ps', text=True)}, {array(types)})"
+    return documents.where(let(each, "ps", wanted))
 
 
 def read_reference(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:

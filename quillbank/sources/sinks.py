@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quillbank.operators.enrich import UNREADABLE
 from quillbank.plans import reports
 from quillbank.plans.migrate import classify
-from quillbank.sources.documents import filter_types, read_documents, with_fields
+from quillbank.sources.documents import filter_types, read_documents
 
 
 def write_bank(classified: DataFrame, path: str, max_records: int = 1_000_000) -> None:
@@ -28,15 +28,22 @@ def write_json_lines(documents: DataFrame, column: str, path: str, partition: st
 
 
 def write_enriched(enriched: DataFrame, path: str) -> None:
-    """Enriched documents by category."""
+    """Enriched documents by category; those that could not be read are listed in ``<path>_errors``."""
     (enriched.where(f"status <> '{UNREADABLE}'").select("path", "filename", "category", "enriched_json")
      .write.mode("overwrite").partitionBy("category").parquet(path))
+    write_unreadable(enriched.where(f"status = '{UNREADABLE}'"), path)
+
+
+def write_unreadable(documents: DataFrame, path: str) -> None:
+    (documents.selectExpr("path", "filename", f"'{UNREADABLE}' AS reason")
+     .write.mode("overwrite").parquet(f"{path}_errors"))
 
 
 def write_cleaned(cleaned: DataFrame, path: str) -> None:
-    """Cleaned documents keyed by their relative path."""
+    """Cleaned documents keyed by their relative path; those that could not be cleaned are listed in ``<path>_errors``."""
     (cleaned.where("cleaned_json IS NOT NULL").select("rel_path", "filename", "cleaned_json")
      .write.mode("overwrite").parquet(path))
+    write_unreadable(cleaned.where("cleaned_json IS NULL"), path)
 
 
 def report_tables(classified: DataFrame) -> dict[str, DataFrame]:
@@ -51,7 +58,7 @@ def migrate(spark: SparkSession, source: str, target: str, types=None, dry_run:
     """Read, classify, write and report.  A dry run writes nothing and returns lazy frames."""
     documents = read_documents(spark, source)
     if types:
-        documents = filter_types(with_fields(documents), types).select(*documents.columns)
+        documents = filter_types(documents, types)
     classified = classify(documents)
     if dry_run:
         return {"bank": classified, **report_tables(classified)}
