@@ -42,7 +42,7 @@ TOKEN_LISTS = {
 }
 ASCII_SPACE = " \n\t\f\r"
 
-OUTLINE = "struct<n_top:int,first_tag:string,child_divs:array<string>,error:string>"
+OUTLINE = "struct<n_top:int,first_tag:string,child_divs:array<string>,error:string,broken:boolean>"
 
 
 class Tag:
@@ -191,10 +191,9 @@ def outline_of(fragment):
         if len(top) == 1 and top[0].name == "div":
             divs = [write_fragment(t) for t in top[0].tags() if t.name == "div"]
         first = top[0].name if top else None
-        "".join([first or "", *divs]).encode()  # a lone surrogate is no text
         return (len(top), first, divs, None)
     except Exception as e:
-        return (None, None, [], str(e).encode("utf-8", "replace").decode())
+        return (None, None, [], str(e))
 
 
 def without_p_attributes(fragment):
@@ -263,9 +262,24 @@ def stripped(fragment):
         return fragment
 
 
+def _written(text):
+    return text and text.encode("utf-8", "replace").decode()
+
+
+def _outline_row(fragment):
+    """The outline as text; ``broken`` tells that a lone surrogate, which cannot be written, stood in it."""
+    outline = outline_of(fragment)
+    if outline is None:
+        return (None, None, None, None, None)
+    n_top, first_tag, divs, error = outline
+    texts = [_written(d) for d in divs]
+    return (n_top, _written(first_tag), texts, _written(error), texts != divs)
+
+
 def _outlines(fragments: pd.Series) -> pd.DataFrame:
-    rows = [outline_of(f) or (None, None, None, None) for f in fragments]
-    return pd.DataFrame(rows, columns=["n_top", "first_tag", "child_divs", "error"]).astype({"n_top": "Int32"})
+    rows = [_outline_row(f) for f in fragments]
+    return pd.DataFrame(rows, columns=["n_top", "first_tag", "child_divs", "error", "broken"]).astype(
+        {"n_top": "Int32", "broken": "boolean"})
 
 
 def _stripped(fragments: pd.Series) -> pd.Series:

@@ -53,7 +53,7 @@ def json_number(text: str) -> str:
     """
     whole, decimal = lit(r"\A-?[0-9]+(\.0*)?\z"), lit(r"\A-?[0-9]+(\.[0-9]+)?([Ee][-+]?[0-9]+)?\z")
     number = "try_cast(x AS double)"
-    integer = f"try_cast(CASE WHEN x RLIKE {whole} THEN substring_index(x, '.', 1) WHEN floor({number}) = {number} THEN x END AS decimal(38,0))"
+    integer = f"try_cast(CASE WHEN x RLIKE {whole} THEN substring_index(x, '.', 1) WHEN rint({number}) = {number} THEN x END AS decimal(38,0))"
     return (
         f"get(transform(array({ascii_digits(text)}), x -> CASE WHEN x RLIKE {decimal} "
         f"THEN coalesce(CAST({integer} AS variant), CAST({number} AS variant)) END), 0)"
@@ -61,7 +61,10 @@ def json_number(text: str) -> str:
 
 
 def float_text(number: str) -> str:
-    """A double as Python prints it: plain from 1e-4 to 1e16, else with an exponent of two digits or more."""
+    """A double as Python prints it: plain from 1e-4 to 1e16, else with an exponent of two digits or more.
+
+    The digits are those the JVM finds; below 1e-320 they can be more than Python's.
+    """
     plain = r"rtrim('0', CAST(CAST(s AS decimal(38,21)) AS string))"
     exponent = "CAST(substring_index(s, 'E', -1) AS int)"
     scientific = (f"concat(regexp_replace(substring_index(s, 'E', 1), '[.]0$', ''), 'e', CASE WHEN {exponent} < 0 THEN '-' ELSE '+' END, "

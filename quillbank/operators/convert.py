@@ -328,8 +328,11 @@ def metadata_failure() -> str:
 
 
 def late_stopper() -> str:
-    """Root answer that is neither empty nor text; met only when converting starts."""
-    return case((f"NOT {is_empty('root.answer')} AND NOT {is_string('root.answer')}", finding("X7")))
+    """Root answer that is neither empty nor text, or of which a part cannot be written; met only when converting starts."""
+    return case(
+        (f"NOT {is_empty('root.answer')} AND NOT {is_string('root.answer')}", finding("X7")),
+        ("size(parts) > 1 AND outline.broken", finding("X10")),
+    )
 
 
 def document_text(part_texts: str = "part_texts") -> str:

@@ -243,7 +243,9 @@ MIXED_PARTS = {
     "input_box": "concat('\"choices\":[],\"answer\":{\"value\":\"', k, '\",\"constrains\":{\"type\":\"integer\"},"
                  "\"unit\":null}')",
 }
-FAULT_SLOTS = 28
+FAULT_SLOTS = 42
+# The slot whose document becomes the only element of an array.
+WRAPPED_SLOT = 31
 # (part type or *, slot, text to find, text to put, rules it breaks with their number of findings)
 FAULTS = [
     ("*", 9, '"source":"human"', '"source":null', {"Q11": 1}),
@@ -257,6 +259,31 @@ FAULTS = [
     ("*", 25, '"standalone":true', '"alone":true', {"V5": 1}),
     ("*", 26, '"n":1,"type":"', '"n":1,"type":"x-', {"V7": 1}),
     ("*", 27, '"parts":[', '"parts":[],"x":[', {"V1": 1}),
+    ("*", 28, '"metadata":{', '"metadata":{},"x":{', {"V3": 1, "V80a": 1}),
+    ("*", 29, '"metadata":{', '"parts":[],"metadata":5,"x":{', {"V1": 1, "V80x": 1, "V82x": 1}),
+    ("*", 30, ',"language":"en","country":"us"},"language":"en"', '},"parts":[],"metadata":[],"language":""',
+     {"V1": 1, "V80x": 1, "V81x": 1, "V82x": 1}),
+    ("*", WRAPPED_SLOT, "", "", {"X2": 1}),
+    ("*", 32, '"parts":[', '"parts":[null],"x":[', {"X4": 1}),
+    ("*", 33, '"source":"human"', '"answer":5,"source":"human"', {"X7": 1}),
+    ("*", 34, '"source":"human"', '"answer":"<![x[y]]>","source":"human"', {"V88": 1}),
+    ("*", 35, '"subject_id":"', '"subject_id":"","x":"', {"K2": 1}),
+    ("*", 36, '"grade":"', '"grade":"","x":"', {"K3": 1}),
+    ("*", 37, '"grade_id":"', '"grade_id":"","x":"', {"K4": 1}),
+    ("*", 38, '"section_id":"', '"section_id":"","x":"', {"K5": 1}),
+    ("*", 39, '"metadata":{"id":', '"metadata":{"id":"","x":', {"K6": 1}),
+    # no fault, but a warning each, and the second an answer with a character that is no text
+    ("*", 40, '"source":"human"', '"answer":"<div>a</div>","source":"human"', {}),
+    ("*", 41, '"source":"human"', '"answer":"<div><div>&#xD800;</div></div>","source":"human"', {}),
+    ("mcq", 8, '"stem":"', '"stem":"","x":"', {"V8": 1}),
+    ("string", 3, '"student_answer":"', '"student":"', {"V46": 2}),
+    ("string", 4, '"mark":', '"marks":', {"V48": 2}),
+    ("string", 5, '"mark":"1"', '"mark":1.5', {"V50": 1}),
+    ("string", 6, '"comment":', '"comments":', {"V51": 2}),
+    ("string", 7, '"comment":"', '"comment":5,"x":"', {"V52": 2}),
+    ("puzzle", 5, '"puzzleRows":"2"', '"puzzleRows":" 2"', {"V69": 1}),
+    ("puzzle", 6, '"puzzleImage":"', '"puzzleImage":7,"x":"', {"V70": 1}),
+    ("puzzle", 7, '"index":1,', '"index":0,', {"V74": 1}),
     ("mcq", 10, '"type":"key"', '"type":"distractor"', {"V18": 1}),
     ("mcq", 11, '"values":[]', '"values":{}', {"V12": 4}),
     ("mcq", 12, '"index":0', '"index":-1', {"V14": 1}),
@@ -358,7 +385,8 @@ def mixed_bank(spark, sf_dir) -> DataFrame:
     # one reference to the sound text: the fault only selects what to replace by what
     find = case(*[(_any(ws), lit(f)) for (f, _), ws in grouped.items()], otherwise="''")
     put = case(*[(_any(ws), lit(p)) for (_, p), ws in grouped.items()], otherwise="''")
-    return as_bank(df.selectExpr("*", f"replace(sound, {find}, {put}) AS raw"), "id")
+    raw = f"CASE WHEN slot = {WRAPPED_SLOT} THEN concat('[', sound, ']') ELSE replace(sound, {find}, {put}) END"
+    return as_bank(df.selectExpr("*", f"{raw} AS raw"), "id")
 
 
 def _any(conditions) -> str:
@@ -369,6 +397,34 @@ def _types() -> str:
     return "array(" + ", ".join(lit(t) for t in fv.PART_TYPES) + ")"
 
 
+# ---- several parts in one document ----
+
+def several_bank(spark, sf_dir) -> DataFrame:
+    """One to five parts of mixed types per order, with a root answer that explains each.
+
+    Lists of one choice are written bare; the eleventh choice has no label left. The statement is
+    absent, null or given. The first explanation holds a reference to a character that is no text
+    where the key is divisible by 50.
+    """
+    one = {
+        "counting": "concat('\"choices\":[],\"answer\":\"', k, '\",\"grid_size\":\"', 1 + j, '×2\"')",
+        "frq": "concat('\"choices\":[],\"answer\":\"', day, '\",\"ai\":{\"ai_template_id\":123456789013}')",
+        "opinion": "concat('\"choices\":[', array_join(transform(sequence(0, CAST(k % 2 AS int) * 10), x -> concat("
+                   "'{\"type\":\"distractor\",\"html_content\":\"c', x, '\",\"values\":[],\"unit\":null,\"index\":', x, "
+                   "',\"fixed_order\":', x + 1, '}')), ','), ']')",
+    }
+    body = case(*[(f"(id + j) % 3 = {i}", f"concat('\"type\":\"{t}\",', {b})") for i, (t, b) in enumerate(one.items())])
+    part_text = f"concat('{{\"n\":', j + 1, ',\"stem\":\"s', j, '\",\"standalone\":true,', {body}, '}}')"
+    parts = f"array_join(transform(sequence(0, CAST(n AS int) - 1), j -> {part_text}), ',')"
+    bad = "CASE WHEN id % 50 = 0 AND j = 0 THEN '&#xD800;' ELSE '' END"
+    divs = f"array_join(transform(sequence(0, CAST(n AS int) - 1), j -> concat('<div>e', j, {bad}, '</div>')), '')"
+    answer = f"CASE WHEN n = 1 THEN '<p>e0</p>' ELSE concat('<div>', {divs}, '</div>') END"
+    statement = "element_at(array('', ',\"statement\":null', ',\"statement\":\"Read.\"'), CAST(k % 3 AS int) + 1)"
+    raw = document(parts, f"concat(',\"answer\":\"', {answer}, '\"', {statement})")
+    df = orders(spark, sf_dir).selectExpr("*", "1 + k % 5 AS n")
+    return as_bank(df.selectExpr("*", f"{raw} AS raw"), "id")
+
+
 # ---- converted documents with faults of the new structure ----
 
 CONVERTED_PARTS = {

@@ -6,6 +6,7 @@ expected result straight from table columns.
 
 from quillbank import fixed_values as fv
 from quillbank.plans import banks
+from quillbank.plans.queries import FLOATS
 
 VALS = (
     "[CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus, "
@@ -54,7 +55,12 @@ docs AS (
       WHEN b.first = 'Q' THEN '{fv.POST_FAILED}' ELSE '{fv.PRE_FAILED}' END AS outcome
   FROM orders LEFT JOIN (SELECT id, sum(n) AS n_errors, min(rule_id[1]) AS first FROM broken GROUP BY id) b
     ON b.id = o_orderkey)"""
-QUESTION_ID = "CASE slot WHEN 21 THEN 'x' || id WHEN 23 THEN 'unknown' ELSE CAST(id AS VARCHAR) END"
+QUESTION_ID = f"CASE slot WHEN 21 THEN 'x' || id WHEN 23 THEN 'unknown' WHEN {banks.WRAPPED_SLOT} THEN 'unknown' ELSE CAST(id AS VARCHAR) END"
+WARNED = "slot IN (40, 41)"
+REPORTED = "(VALUES " + ", ".join(f"('{r}', '{f}', '{e}')" for r, (f, e) in fv.REPORTED.items()) + ") AS t(rule_id, failed, wanted)"
+PLAIN = "(VALUES " + ", ".join(
+    "('{}', '{}')".format(r, m.replace("{p}", "1").replace("'", "''"))
+    for r, m in fv.MESSAGES.items() if "{" not in m.replace("{p}", "")) + ") AS m(rule_id, message)"
 
 
 def _country_value(rank: str) -> str:
@@ -74,8 +80,7 @@ def _name(code: str, names: dict) -> str:
 ESC = "replace(replace(replace(x, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 LINES = r"SELECT doc_id AS id, string_split(text, chr(10)) AS lines FROM documents"
 TURNS = """SELECT q.conv_id, q.turn, q.text AS question, a.text AS reply FROM conversations q
-  JOIN conversations a ON a.conv_id = q.conv_id AND a.turn = q.turn + 1
-  WHERE q.role = 'user' AND a.role = 'assistant'"""
+  LEFT JOIN conversations a ON a.conv_id = q.conv_id AND a.turn = q.turn + 1 AND a.role = 'assistant'"""
 SQUEEZE = r"trim(regexp_replace({0}, '\s+', ' ', 'g'))"
 
 GROUPED = _choices("false") + """,
@@ -86,9 +91,9 @@ s AS (SELECT *, row_number() OVER (PARTITION BY id, b ORDER BY ix) - 1 AS pos FR
 
 ORACLES = {
     "convert_mcq": _choices("j = id % n") + f"""
-SELECT r.id, r.pos, {LABEL} AS label, value, is_key AS is_correct,
-  a.answer_label, a.answer_value
-FROM r JOIN (SELECT id, {LABEL} AS answer_label, value AS answer_value FROM r WHERE is_key) a ON a.id = r.id""",
+SELECT id, pos, {LABEL} AS label, value, is_key AS is_correct,
+  max({LABEL}) FILTER (is_key) OVER (PARTITION BY id) AS answer_label,
+  max(value) FILTER (is_key) OVER (PARTITION BY id) AS answer_value FROM r""",
     "convert_mrq": _choices("j < 2 OR j % 3 = id % 3") + f"""
 SELECT r.id, r.pos, {LABEL} AS label, value, is_key AS is_correct, a.n_answers, a.answers
 FROM r JOIN (SELECT id, count(*) AS n_answers, string_agg(value, '|' ORDER BY pos) AS answers
@@ -96,10 +101,10 @@ FROM r JOIN (SELECT id, count(*) AS n_answers, string_agg(value, '|' ORDER BY po
     "convert_opinion": _choices("false") + f" SELECT id, pos, {LABEL} AS label, value FROM r",
     "convert_ordering": _choices("false") + """,
 k AS (SELECT *, CASE WHEN j % 5 <> 4 THEN 1 + (j * 7 + id) % n END AS correct_order FROM r),
-a AS (SELECT id, value AS answer,
-        row_number() OVER (PARTITION BY id ORDER BY correct_order NULLS LAST, j) - 1 AS pos FROM k)
-SELECT k.id, k.pos, value, fixed_order AS display_order, correct_order, a.answer, 'vertical' AS direction
-FROM k JOIN a ON a.id = k.id AND a.pos = k.pos""",
+a AS (SELECT id, list({'pos': pos, 'value': value, 'fixed_order': fixed_order, 'correct_order': correct_order} ORDER BY pos) AS shown,
+        list(value ORDER BY correct_order NULLS LAST, j) AS answers FROM k GROUP BY id)
+SELECT id, x.pos AS pos, x.value AS value, x.fixed_order AS display_order, x.correct_order AS correct_order,
+  answers[x.pos + 1] AS answer, 'vertical' AS direction FROM (SELECT id, answers, unnest(shown) AS x FROM a)""",
     "convert_matching": GROUPED + """,
 first_a AS (SELECT id, pair, min(pos) AS pos FROM s WHERE b = 0 AND pair IS NOT NULL GROUP BY id, pair),
 first_b AS (SELECT id, pair, min_by(value, pos) AS value FROM s WHERE b = 1 AND pair IS NOT NULL GROUP BY id, pair)
@@ -144,7 +149,7 @@ SELECT id, string_agg(CASE WHEN i % 11 = 3 THEN ' ' || word ELSE word END, ' ' O
   1 + count(*) FILTER (i % 11 = 3) AS last_display_order
 FROM u GROUP BY id""",
     "convert_string": f"""
-SELECT conv_id, turn, question AS stem, '593158513739' AS ai_template_id, reply || '|' || question AS answers,
+SELECT conv_id, turn, question AS stem, '593158513739' AS ai_template_id, concat_ws('|', reply, question) AS answers,
   1 + (turn // 2) % 3 AS n_guidelines,
   (['1', '1,0', '1,0,1'])[1 + (turn // 2) % 3] AS marks,
   (['note 1', 'note 1,note 2', 'note 1,note 2,note 3'])[1 + (turn // 2) % 3] AS comments
@@ -171,7 +176,7 @@ SELECT count(*) AS total, count(*) FILTER (outcome = '{fv.CONVERTED}') AS succes
   count(*) FILTER (outcome = '{fv.PRE_FAILED}') AS pre_failed,
   count(*) FILTER (outcome = '{fv.CONVERSION_FAILED}') AS conversion_failed,
   count(*) FILTER (outcome = '{fv.POST_FAILED}') AS post_failed,
-  count(*) FILTER (outcome <> '{fv.CONVERTED}') AS failed, CAST(0 AS BIGINT) AS warnings,
+  count(*) FILTER (outcome <> '{fv.CONVERTED}') AS failed, count(*) FILTER ({WARNED}) AS warnings,
   round(100.0 * count(*) FILTER (outcome = '{fv.CONVERTED}') / count(*), 2) AS success_rate,
   count(*) FILTER (outcome <> '{fv.CONVERTED}') = 0 AS all_converted FROM docs""",
     "success_rate": MIXED + f"""
@@ -185,9 +190,37 @@ SELECT rule_id, CAST(sum(n) AS BIGINT) AS n_errors FROM staged WHERE error_type
     "errors_by_type": MIXED + " SELECT error_type, CAST(sum(n) AS BIGINT) AS n_errors FROM staged GROUP BY 1",
     "error_report": MIXED + f"""
 SELECT id || '.json' AS filename, {QUESTION_ID} AS question_id, error_type, rule_id,
-  CASE WHEN rule_id = 'K1' THEN 'subject' ELSE '' END AS failed_field, '' AS actual_value,
-  CASE WHEN rule_id = 'K1' THEN 'Non-empty string' ELSE '' END AS expected_format
-FROM (SELECT s.id, d.slot, rule_id, error_type, unnest(range(s.n)) FROM staged s JOIN docs d ON d.id = s.id)""",
+  m.message, coalesce(failed, '') AS failed_field, CASE WHEN rule_id = 'K6' THEN 'None' ELSE '' END AS actual_value,
+  coalesce(wanted, '') AS expected_format
+FROM (SELECT s.id, d.slot, rule_id, error_type, unnest(range(s.n)) FROM staged s JOIN docs d ON d.id = s.id)
+LEFT JOIN {REPORTED} USING (rule_id) LEFT JOIN {PLAIN} USING (rule_id)""",
+    "warnings_report": MIXED + f"""
+SELECT id || '.json' AS filename, {QUESTION_ID} AS question_id, 'V84' AS rule_id,
+  'Root ''answer'' field for single-part question must contain a <p> tag, but found <div>' AS message FROM docs WHERE {WARNED}""",
+    "choice_limit": """
+SELECT o_orderkey AS id, 'V19' AS rule_id, CAST(1 + o_custkey % 11 AS VARCHAR) AS found FROM orders
+WHERE o_orderkey % 2 = 0 AND o_custkey % 11 > 3""",
+    "migrate_multi_part": f"""
+WITH o AS (SELECT o_orderkey AS id, o_custkey AS k, 1 + o_custkey % 5 AS n, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders),
+p AS (SELECT *, unnest(range(n)) AS j FROM o),
+t AS (SELECT id, n, k, j, '{{"n":' || (j + 1) || ',"type":"' || (['counting', 'frq', 'opinion'])[1 + (id + j) % 3] || '","stem":"s' || j || '",'
+    || CASE (id + j) % 3
+       WHEN 0 THEN '"grid":{{"rows":' || (1 + j) || ',"columns":2}},"correct_answer":' || k
+       WHEN 1 THEN '"ai_template_id":"123456789013","acceptable_answers":["' || day || '"]'
+       ELSE '"choices":' || CASE WHEN k % 2 = 0 THEN '{{"label":"A","value":"c0"}}' ELSE
+         '[' || array_to_string(list_transform(range(11), lambda x: CASE WHEN x < 10 THEN '{{"label":"' || ({fv.LABELS_LATIN})[x + 1] || '",' ELSE '{{' END
+           || '"value":"c' || x || '"}}'), ',') || ']' END END
+    || ',"explanation":"' || CASE WHEN n = 1 THEN '<p>e0</p>' ELSE '<div>e' || j || '</div>' END || '"}}' AS part FROM p),
+d AS (SELECT id, any_value(n) AS n, any_value(k) AS k, string_agg(part, ',' ORDER BY j) AS parts,
+    count(*) FILTER ((id + j) % 3 = 2 AND k % 2 = 0) AS bare FROM t GROUP BY id)
+SELECT id, CASE WHEN broken THEN '{fv.CONVERSION_FAILED}' WHEN bare > 0 THEN '{fv.POST_FAILED}' ELSE '{fv.CONVERTED}' END AS outcome,
+  CASE WHEN broken THEN 'X10' ELSE array_to_string(list_transform(range(bare), lambda x: 'Q38b'), ',') END AS rules, CASE WHEN n > 1 AND k % 3 < 2 THEN 'V4' ELSE '' END AS warned,
+  CASE WHEN NOT broken THEN '{{"question_id":"' || id || '","parent_id":"' || id
+  || '","language_code":"en","language":"English","country_code":"us","country":"United States","subject":"Science",'
+  || '"subject_id":"123456789012","grade":"4","grade_id":"234567890123","number_of_parts":' || n || ',"section_id":"345678901234",'
+  || '"source":"human","content":{{' || CASE WHEN n > 1 THEN '"statement":' || (['""', 'null', '"Read."'])[1 + k % 3] || ',' ELSE '' END
+  || '"parts":[' || parts || ']}}}}' END AS converted_json
+FROM (SELECT *, id % 50 = 0 AND n > 1 AS broken FROM d)""",
     "post_errors_by_rule": f"""
 SELECT rule_id, CAST(sum(n) AS BIGINT) AS n_errors FROM orders
 JOIN {_fault_values(banks.converted_fault_cases())}
@@ -195,7 +228,7 @@ JOIN {_fault_values(banks.converted_fault_cases())}
     "filter_by_type": f"""
 SELECT o_orderkey AS id, ({TYPE_NAMES})[o_orderkey % 13 + 1] AS part_types, true AS has_parts FROM orders
 WHERE ({TYPE_NAMES})[o_orderkey % 13 + 1] IN ('frq', 'oq', 'puzzle')
-  AND o_custkey % {banks.FAULT_SLOTS} NOT IN (23, 26, 27)""",
+  AND o_custkey % {banks.FAULT_SLOTS} NOT IN (23, 26, 27, 29, 30, {banks.WRAPPED_SLOT}, 32)""",
     "answer_checks": """
 WITH rules(shape, several, rule_id, found) AS (VALUES
   (0, 1, 'V86', 'p'), (1, 0, 'V83', '2'), (1, 1, 'V85', '2'), (2, 0, 'V84', 'div'), (2, 1, 'V87', '0'),
@@ -225,16 +258,17 @@ SELECT id, mapped_id, CASE WHEN p <> 0 THEN CAST(id AS VARCHAR) END AS parent_id
 SELECT o_orderkey AS id, CAST(o_orderkey AS VARCHAR) AS question_id, CAST(o_custkey AS VARCHAR) AS parent_id,
   'fr' AS language_code, 'French' AS language, CASE WHEN o_orderkey % 2 = 0 THEN 'us' ELSE 'in' END AS country_code,
   CASE WHEN o_orderkey % 2 = 0 THEN 'United States' ELSE 'India' END AS country, o_orderpriority AS subject,
-  CAST(o_custkey AS VARCHAR) AS subject_id, CASE WHEN o_custkey % 3 = 0 THEN 'None' ELSE '4' END AS grade,
+  CAST(o_custkey AS VARCHAR) AS subject_id, (['None', '4', '4', '12345678.5', '123456789012.0', '1e-05'])[o_custkey % 6 + 1] AS grade,
   CASE WHEN o_custkey % 2 = 0 THEN 'True' ELSE CAST(o_orderkey AS VARCHAR) END AS grade_id,
   CAST(2 AS BIGINT) AS number_of_parts, strftime(o_orderdate, '%Y-%m-%d') AS section_id,
   CASE WHEN o_orderkey % 3 = 0 THEN 'human' ELSE 'scan' END AS source FROM orders""",
-    "value_tests": """
-SELECT event_id AS id, event_id % 14 IN (0, 1, 2, 3, 4) AS empty, event_id % 14 IN (0, 1, 3, 4, 5, 6) AS falsy,
-  event_id % 14 IN (5, 6, 7, 10) AS whole,
-  CASE event_id % 14 WHEN 0 THEN 'None' WHEN 1 THEN '' WHEN 2 THEN '  ' WHEN 3 THEN '[]' WHEN 4 THEN '{}' WHEN 5 THEN '0'
-    WHEN 6 THEN 'False' WHEN 7 THEN 'True' WHEN 8 THEN '1.0' WHEN 9 THEN '2.5' WHEN 10 THEN CAST(event_id AS VARCHAR)
-    WHEN 11 THEN event_type WHEN 12 THEN '[0]' ELSE replace(props, ' ', '') END AS printed FROM events""",
+    "value_tests": f"""
+SELECT id, kind IN (0, 1, 2, 3, 4) AS empty, kind IN (0, 1, 3, 4, 5, 6) AS falsy, kind IN (5, 6, 7, 10) AS whole,
+  CASE kind WHEN 0 THEN 'None' WHEN 1 THEN '' WHEN 2 THEN '  ' WHEN 3 THEN '[]' WHEN 4 THEN '{{}}' WHEN 5 THEN '0'
+    WHEN 6 THEN 'False' WHEN 7 THEN 'True' WHEN 8 THEN '1.0' WHEN 9 THEN '2.5' WHEN 10 THEN CAST(id AS VARCHAR)
+    WHEN 11 THEN event_type WHEN 12 THEN '[0]' WHEN 13 THEN replace(props, ' ', '')
+    ELSE ([{", ".join(f"'{n}'" for n in FLOATS.values())}])[kind - 13] END AS printed
+FROM (SELECT *, event_id AS id, event_id % {14 + len(FLOATS)} AS kind FROM events)""",
     "normalized_text": f"SELECT doc_id, {SQUEEZE.format('text')} AS normalized FROM documents",
     "enrich_first_match": """
 WITH f AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey
@@ -256,7 +290,7 @@ SELECT id, (['unknown', 'frq', 'multipart'])[k % 3 + 1] AS category,
 SELECT category, count(*) AS n_documents FROM (
   SELECT CASE WHEN slot = 27 THEN 'unknown' WHEN slot = 26 THEN 'x-' || t ELSE t END AS category
   FROM (SELECT ({TYPE_NAMES})[o_orderkey % 13 + 1] AS t, o_custkey % {banks.FAULT_SLOTS} AS slot FROM orders)
-  WHERE slot NOT IN (18, 23)) GROUP BY 1""",
+  WHERE slot NOT IN (18, 23, 29, 30, {banks.WRAPPED_SLOT}, 32)) GROUP BY 1""",
     "strip_p_attrs": f"""
 WITH l AS ({LINES}), u AS (SELECT id, unnest(lines) AS x, unnest(range(len(lines))) AS i FROM l)
 SELECT id, string_agg('<p>' || {ESC} || '</p>', chr(10) ORDER BY i) AS html FROM u GROUP BY id""",

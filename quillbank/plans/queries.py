@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from quillbank import fixed_values as fv
 from quillbank.functions import resolve as rs
 from quillbank.functions.html import html_outline, strip_p_attributes
+from quillbank.functions.sql import lits
 from quillbank.functions.text import normalize_text
 from quillbank.functions.variants import field, is_empty, is_falsy, is_integer, shown
 from quillbank.operators import convert as cv
@@ -188,13 +189,39 @@ def errors_by_type(spark, sf_dir):
     return reports.errors_by_type(_mixed(spark, sf_dir))
 
 
+# Rules whose message names nothing but the part, here always the first.
+PLAIN_MESSAGES = {r: m.replace("{p}", "1") for r, m in fv.MESSAGES.items() if "{" not in m.replace("{p}", "")}
+
+
 def error_report(spark, sf_dir):
-    """The error table, without message texts and timestamp."""
+    """The error table without its timestamp; messages that name a value of the document are left out."""
     return reports.errors(_mixed(spark, sf_dir)).selectExpr(
         "`Filename` AS filename", "`Question ID` AS question_id", "`Error Type` AS error_type", "rule_id",
+        f"CASE WHEN rule_id IN ({lits(PLAIN_MESSAGES)}) THEN `Error Message` END AS message",
         "`Failed Field` AS failed_field", "`Actual Value` AS actual_value", "`Expected Format` AS expected_format")
 
 
+def warnings_report(spark, sf_dir):
+    """The warning table, without its timestamp."""
+    return reports.warnings(_mixed(spark, sf_dir)).selectExpr(
+        "`Filename` AS filename", "`Question ID` AS question_id", "rule_id", "`Warning Message` AS message")
+
+
+def migrate_multi_part(spark, sf_dir):
+    """Documents of one to five parts: outcome, rule, warnings and the whole converted text."""
+    return migrate.classify(banks.several_bank(spark, sf_dir)).selectExpr(
+        "id", "outcome", "array_join(transform(errors, x -> x.rule_id), ',') AS rules",
+        "array_join(transform(warnings, x -> x.rule_id), ',') AS warned", "converted_json")
+
+
+def choice_limit(spark, sf_dir):
+    """More choices than a country allows, for the orders of even customers."""
+    bank = banks.choice_bank(spark, sf_dir, "mcq").selectExpr(
+        "path", "filename", "id", "CASE WHEN id % 2 = 0 THEN replace(raw, '\"country\":\"us\"', '\"country\":\"eg\"') ELSE raw END AS raw")
+    found = migrate.validate_pre(bank).selectExpr("id", "explode_outer(pre) AS x").where("x IS NOT NULL")
+    return found.selectExpr("id", "x.rule_id AS rule_id", "x.value AS found")
+
+
 def post_errors_by_rule(spark, sf_dir):
     """New-structure checks on a converted table from elsewhere."""
     df = migrate.validate_post(banks.converted_bank(spark, sf_dir))
@@ -286,7 +313,7 @@ def common_metadata(spark, sf_dir):
         "concat('{\"parts\":[{},{}],\"metadata\":{\"id\":', k, ',\"mapped_id\":', id, ',\"language\":\"fr\"},"
         "\"country\":\"', CASE WHEN id % 2 = 0 THEN 'us' ELSE 'IN' END, '\",\"question_id\":\"', id, '\","
         "\"subject\":\"', get(vals, 5), '\",\"subject_id\":', k, ',\"grade\":', "
-        "CASE WHEN k % 3 = 0 THEN 'null' WHEN k % 3 = 1 THEN '4' ELSE '\"4\"' END, "
+        "element_at(array('null', '4', '\"4\"', '12345678.5', '123456789012.0', '1e-5'), CAST(k % 6 AS int) + 1), "
         "',\"grade_id\":', CASE WHEN k % 2 = 0 THEN 'true' ELSE CAST(id AS string) END, ',\"section_id\":\"', day, '\"', "
         "CASE WHEN id % 3 = 0 THEN '' ELSE ',\"source\":\"scan\"' END, '}')")
     df = banks.orders(spark, sf_dir).selectExpr("*", f"{raw} AS raw")
@@ -297,10 +324,18 @@ def common_metadata(spark, sf_dir):
     return with_fields(banks.as_bank(df, "id")).selectExpr("id", *[f"{v} AS {k}" for k, v in fields.items()])
 
 
+# Numbers as JSON may write them, with their text in the reports.
+FLOATS = {
+    "12345678.5": "12345678.5", "123456789012.0": "123456789012.0", "1e-5": "1e-05", "0.0001": "0.0001", "1e16": "1e+16",
+    "-123456789.125e-12": "-0.000123456789125", "1.5e300": "1.5e+300", "9007199254740993.0": "9007199254740992.0",
+}
+
+
 def value_tests(spark, sf_dir):
     """Emptiness, truth, integer test and printed form of values of every JSON type."""
     value = ("element_at(array('null', '\"\"', '\"  \"', '[]', '{}', '0', 'false', 'true', '1.0', '2.5', CAST(event_id AS string), "
-             "concat('\"', event_type, '\"'), '[0]', props), CAST(event_id % 14 AS int) + 1)")
+             "concat('\"', event_type, '\"'), '[0]', props, " + ", ".join(f"'{n}'" for n in FLOATS) +
+             f"), CAST(event_id % {14 + len(FLOATS)} AS int) + 1)")
     df = banks.table(spark, sf_dir, "events").selectExpr("event_id AS id", f"parse_json({value}) AS v")
     return df.selectExpr("id", f"{is_empty('v')} AS empty", f"{is_falsy('v')} AS falsy",
                          f"{is_integer('v')} AS whole", f"{shown('v')} AS printed")
@@ -361,7 +396,8 @@ QUERIES = {f.__name__: f for f in (
     convert_mcq, convert_mrq, convert_opinion, convert_ordering, convert_matching, convert_gmrq,
     convert_counting, convert_puzzle, convert_input, convert_gap, convert_string, convert_frq,
     part_explanation, converted_text, outcome_by_document, outcome_summary, success_rate,
-    pre_errors_by_rule, conversion_errors_by_rule, errors_by_type, error_report, post_errors_by_rule,
+    pre_errors_by_rule, conversion_errors_by_rule, errors_by_type, error_report, warnings_report,
+    migrate_multi_part, choice_limit, post_errors_by_rule,
     filter_by_type, answer_checks, country_resolution, country_choice_limit, language_resolution,
     id_consistency, common_metadata, value_tests, normalized_text, enrich_first_match,
     category_routing, strip_p_attrs, clean_documents, clean_pages,

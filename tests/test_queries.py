@@ -15,7 +15,7 @@ def test_every_query_but_one_has_sql():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="tables not present")
-@pytest.mark.parametrize("name", ["country_resolution", "id_consistency", "convert_counting", "value_tests"])
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
