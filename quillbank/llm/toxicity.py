@@ -29,6 +29,8 @@ PREFIXES = (4, 5, 6)
 EPOCHS = 12
 BATCH = 256
 THRESHOLD = 0.3
+#: Standard deviations from even odds that a bucket needs to become a feature.
+LEAST_Z = 2.5
 #: Words whose features a task remembers before it starts anew.
 REMEMBERED = 1 << 19
 
@@ -83,7 +85,7 @@ def select_features(rows: list[np.ndarray], label: np.ndarray, weight: np.ndarra
     z = np.abs(odds) / np.sqrt(1 / (a + 0.5) + 1 / (n_a - a + 0.5) + 1 / (b + 0.5) + 1 / (n_b - b + 0.5))
     z[a + b < 3] = 0
     best = np.argsort(-z, kind="stable")[:features]
-    return np.sort(best[z[best] > 0])
+    return np.sort(best[z[best] > LEAST_Z])
 
 
 def fit(rows: list[np.ndarray], label: np.ndarray, weight: np.ndarray, features: int = FEATURES, factors: int = FACTORS, epochs: int = EPOCHS) -> Machine:
