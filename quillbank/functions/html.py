@@ -242,9 +242,11 @@ def is_json(raw):
 
 def clean_document_text(raw):
     """A JSON text with every string value cleaned, all else as it was; NULL if it or the result is no text."""
+    return _clean_json(raw) if is_json(raw) else None
+
+
+def _clean_json(raw):
     try:
-        if not is_json(raw):
-            return None
         cleaned = JSON_STRING.sub(_clean_string, raw)
         cleaned.encode()
         return cleaned
@@ -287,7 +289,7 @@ def _stripped(fragments: pd.Series) -> pd.Series:
 
 
 def _cleaned(documents: pd.Series) -> pd.Series:
-    return documents.map(clean_document_text, na_action="ignore")
+    return documents.map(_clean_json, na_action="ignore")
 
 
 # The helpers travel to the executors with the function, so no package has to be there.
@@ -311,7 +313,10 @@ def strip_p_attributes(text: Column) -> Column:
 
 
 def clean_document(raw: Column, readable: Column) -> Column:
-    """A cleaned JSON document; unreadable ones come out NULL, untouched ones as they are."""
+    """A cleaned JSON document; unreadable ones come out NULL, untouched ones as they are.
+
+    Python gets only documents that were found readable, so it does not parse them again.
+    """
     needed = raw.rlike(P_WITH_MORE_IN_JSON)
     cleaned = F.pandas_udf(_cleaned, "string")(F.when(readable & needed, raw))
     return F.when(readable, F.when(needed, cleaned).otherwise(raw))

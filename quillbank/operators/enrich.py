@@ -90,12 +90,13 @@ def enrich(documents: DataFrame, reference: DataFrame, order: str = "file_order"
 
     Adds ``category``, ``mapped_id``, ``status`` and ``enriched_json``.  Without an
     id or a match the text stays as it is; an unreadable document has none.
+    Only the text goes through the join; what is found is parsed behind it.
     """
     configure(documents.sparkSession)
     docs = with_category(documents).withColumns({
         "has_id": F.col("mapped_id").isNotNull(),
         "join_key": F.coalesce("mapped_id", "path"),
-    })
+    }).drop("doc")
     first = first_matches(reference, order).select(
         F.lit(True).alias("has_id"), F.col("mapped_id").alias("join_key"), "match")
     joined = docs.join(first, ["has_id", "join_key"], "left")
@@ -106,13 +107,13 @@ def enrich(documents: DataFrame, reference: DataFrame, order: str = "file_order"
         otherwise=lit(ENRICHED),
     )
     out = joined.withColumn("status", F.expr(status)).select(
-        *documents.columns, "category", "mapped_id", "status", "doc",
+        *documents.columns, "category", "mapped_id", "status",
         *[F.col("match")[c].alias(c) for c in VALUES])
     enriched = F.expr(f"status = {lit(ENRICHED)}")
     out = out.withColumns({
-        "leaves": F.when(enriched, F.expr(field("doc", "$", "map<string,variant>"))),
+        "leaves": F.when(enriched, F.expr(field(parsed("raw"), "$", "map<string,variant>"))),
         "nested": F.when(enriched, F.from_json("raw", "map<string,string>")),
     })
     text = case((f"status = {lit(ENRICHED)}", enriched_text()), (f"status = {lit(UNREADABLE)}", "NULL"),
                 otherwise="raw")
-    return out.withColumn("enriched_json", F.expr(text)).drop("doc", "leaves", "nested")
+    return out.withColumn("enriched_json", F.expr(text)).drop("leaves", "nested")
