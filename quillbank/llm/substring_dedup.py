@@ -6,8 +6,8 @@ with a smaller doc_id.
 1. Every task counts its windows in sketches of `ROWS` rows. A sketch travels as the sorted cells it touched, about a byte
    each; ranges of cells are added up in parallel. What is kept of the merged sketch is a bit for each cell: counted twice
    or more. A sketch only overestimates, so a window seen twice always has all its bits set.
-2. Windows with all bits set are grouped exactly by a 128-bit hash. Each task first reduces them to the smallest
-   doc_id it holds, so a passage in a third of all documents sends one row for each block of windows.
+2. Windows with all bits set are grouped exactly by 96 bits of hash, a range of hashes at a time. Each task first reduces
+   them to the smallest doc_id it holds, so a passage in a third of all documents sends one entry for each block of windows.
 3. The hashes that came out as repeated go to their documents, which drop the covered words.
 
 The width of the sketch follows the amount of text up to `MAX_CELLS`, which bounds what is broadcast (an eighth of a byte a cell
@@ -23,7 +23,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from quillbank.llm.frames import attach, quoted, slices
 
@@ -145,11 +145,30 @@ def sketch(documents: DataFrame, bits: int, stripe: int, stripes: int, window: i
     return out.reshape(ROWS, -1)
 
 
+def planes(values: np.ndarray) -> bytes:
+    """The values byte by byte, all first bytes first: high bytes, mostly zero, then shrink well on the way."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def values_of(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, np.uint8).reshape(8, -1).T.copy().view(np.int64).ravel()
+
+
+def _spans(hashes: np.ndarray, n: int) -> list[slice]:
+    """For sorted hashes, the part of each of n (a power of two) equal ranges."""
+    edges = np.searchsorted(hashes >> np.uint64(32), np.arange(1, n, dtype=np.uint64) * np.uint64((1 << 32) // n))
+    return [slice(a, b) for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(hashes)])]
+
+
 def _repeated_in_stripe(documents: DataFrame, bits: int, stripe: int, stripes: int, window: int) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(sketch(documents, bits, stripe, stripes, window))
+    n_spans = max(1, (1 << bits) // RANGE_CELLS)
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of each suspected window of a block, the smallest doc_id; the larger ones are decided here."""
+        """Of each suspected window of a block, its smallest doc_id goes to the range of its hash; larger ones are decided here.
+
+        Decided windows are dealt by hash and document, so that they don't pile up where the others of their hash go.
+        """
         seen = shared.value
         for hashes, ids in _blocks(batches, stripe, stripes, window):
             at = np.arange(hashes.shape[1])
@@ -160,21 +179,39 @@ def _repeated_in_stripe(documents: DataFrame, bits: int, stripe: int, stripes: i
             at = at[np.argsort(hashes[0, at], kind="stable")]
             if not len(at):
                 continue
-            a, b, d = hashes[0, at], hashes[1, at], ids[at]
+            a, b, d = hashes[0, at], (hashes[1, at] >> np.uint64(32)).astype(np.uint32), ids[at]
             new = np.ones(len(at), bool)
             new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            other = new.copy()
-            other[1:] |= d[1:] != d[:-1]
-            a, b, d, decided = a[other], b[other], d[other], ~new[other]
-            b[decided] ^= d[decided].view(np.uint64) * _FACTORS[1, 0] | np.uint64(1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(d), pa.array(decided)], names=["a", "b", "doc_id", "decided"]
-            )
-
-    # Decided rows need no partners any more: their second hash is scattered, so that they don't pile up with their window.
-    found = documents.mapInArrow(suspects, "a bigint, b bigint, doc_id bigint, decided boolean")
-    least = F.min(F.when(~F.col("decided"), F.col("doc_id"))).over(Window.partitionBy("a", "b"))
-    return found.withColumn("least", least).where("decided OR doc_id > least").select("doc_id", "a")
+            decided = ~new
+            decided[1:] &= d[1:] != d[:-1]
+            own_a, own_d = a[decided], d[decided]
+            dealt = own_a ^ own_d.view(np.uint64) * _FACTORS[1, 0]
+            order = np.argsort(dealt)
+            own_a, own_d, dealt = own_a[order], own_d[order], dealt[order]
+            a, b, d = a[new], b[new], d[new]
+            out = [
+                (k, a[x].tobytes(), b[x].tobytes(), planes(d[x]), own_a[y].tobytes(), planes(own_d[y]))
+                for k, (x, y) in enumerate(zip(_spans(a, n_spans), _spans(dealt, n_spans))) if x.stop > x.start or y.stop > y.start
+            ]
+            kinds = [pa.int32(), *[pa.binary()] * 5]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["span", "a", "b", "d", "own_a", "own_d"])
+
+    def settle(keys: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The windows of a range whose document isn't the smallest of their hash, and the decided ones."""
+        parts = [r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "d", "own_a", "own_d")))]
+        a = np.concatenate([np.frombuffer(r[0], np.uint64) for r in parts])
+        b = np.concatenate([np.frombuffer(r[1], np.uint32) for r in parts])
+        d = np.concatenate([values_of(r[2]) for r in parts])
+        order = np.lexsort((b, a))
+        a, b, d = a[order], b[order], d[order]
+        first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)])
+        late = d > np.repeat(np.minimum.reduceat(d, first), np.diff(np.append(first, len(a)))) if len(a) else np.zeros(0, bool)
+        gone = np.concatenate([a[late], *[np.frombuffer(r[3], np.uint64) for r in parts]])
+        ids = np.concatenate([d[late], *[values_of(r[4]) for r in parts]])
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(gone.view(np.int64))], names=["doc_id", "a"])
+
+    found = documents.mapInArrow(suspects, "span int, a binary, b binary, d binary, own_a binary, own_d binary")
+    return found.groupBy("span").applyInArrow(settle, "doc_id bigint, a bigint")
 
 
 def repeated(documents: DataFrame, window: int = WINDOW) -> DataFrame:
