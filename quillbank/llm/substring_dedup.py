@@ -3,7 +3,7 @@
 A window is `WINDOW` words in a row of one document. A word goes if a window that covers it also starts in a document
 with a smaller doc_id.
 
-1. Every task counts its windows in sketches of `ROWS` rows. A sketch travels as the sorted cells it touched, about a byte
+1. Every task counts its windows in sketches of `ROWS` rows. A sketch travels as the sorted cells it touched, some ten bits
    each; ranges of cells are added up in parallel. What is kept of the merged sketch is a bit for each cell: counted twice
    or more. A sketch only overestimates, so a window seen twice always has all its bits set.
 2. Windows with all bits set are grouped exactly by 96 bits of hash, a range of hashes at a time. Each task first reduces
@@ -38,7 +38,7 @@ BYTES_A_WINDOW = 6
 #: Windows a task holds at once.
 BLOCK_WINDOWS = 1 << 20
 #: Words whose hashes a task remembers before it starts anew.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 
 _FACTORS = np.random.default_rng(5).integers(0, 1 << 63, (ROWS, 64), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -72,18 +72,18 @@ def cells(hashes: np.ndarray, bits: int) -> np.ndarray:
     return ((hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.uint32)
 
 
-def pack(sorted_cells: np.ndarray) -> bytes:
-    """Gaps between sorted cells, one byte each; 255 stands for a longer way, to be continued."""
-    gaps = np.diff(sorted_cells.astype(np.int64), prepend=0)
-    far, rest = gaps // 255, (gaps % 255).astype(np.uint8)
-    out = np.full(len(gaps) + int(far.sum()), 255, np.uint8)
-    out[np.cumsum(far + 1) - 1] = rest
-    return out.tobytes()
+def pack(sorted_cells: np.ndarray, span: int) -> bytes:
+    """Sorted cells below `span`: their low bytes, and a bit string in which ones count entries and zeros steps of the high part."""
+    high = np.zeros(len(sorted_cells) + (span >> 8) + 1, bool)
+    high[(sorted_cells >> 8) + np.arange(len(sorted_cells))] = True
+    return sorted_cells.astype(np.uint8).tobytes() + np.packbits(high).tobytes()
 
 
-def unpack(packed: bytes) -> np.ndarray:
-    gaps = np.frombuffer(packed, np.uint8)
-    return np.cumsum(gaps, dtype=np.int64)[gaps != 255]
+def unpack(packed: bytes, span: int) -> np.ndarray:
+    n = (8 * len(packed) - (span >> 8) - 1) // 9  # n low bytes and n + span/256 + 1 bits, rounded up to bytes
+    low = np.frombuffer(packed, np.uint8, n).astype(np.int64)
+    ones = np.flatnonzero(np.unpackbits(np.frombuffer(packed, np.uint8, offset=n)))
+    return low + ((ones - np.arange(n)) << 8)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], stripe: int, stripes: int, window: int):
@@ -118,7 +118,7 @@ def sketch(documents: DataFrame, bits: int, stripe: int, stripes: int, window: i
                 parts = [p & np.uint32((1 << range_bits) - 1) for p in np.split(touched, edges)]
                 full = [k for k, p in enumerate(parts) if len(p)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row] * len(full), pa.int32()), pa.array(full, pa.int32()), pa.array([pack(parts[k]) for k in full], pa.binary())],
+                    [pa.array([row] * len(full), pa.int32()), pa.array(full, pa.int32()), pa.array([pack(parts[k], 1 << range_bits) for k in full], pa.binary())],
                     names=["line", "span", "packed"],
                 )
 
@@ -126,7 +126,7 @@ def sketch(documents: DataFrame, bits: int, stripe: int, stripes: int, window: i
         once, twice = np.zeros(1 << range_bits, bool), np.zeros(1 << range_bits, bool)
         for batch in batches:
             for packed in batch.column("packed").to_pylist():
-                at = unpack(packed)
+                at = unpack(packed, 1 << range_bits)
                 again = at[1:][at[1:] == at[:-1]]
                 twice[again] = True
                 twice[at[once[at]]] = True
@@ -154,6 +154,15 @@ def values_of(packed: bytes) -> np.ndarray:
     return np.frombuffer(packed, np.uint8).reshape(8, -1).T.copy().view(np.int64).ravel()
 
 
+def steps(hashes: np.ndarray) -> bytes:
+    """Sorted hashes by their distances, which are smaller numbers."""
+    return planes(np.diff(hashes, prepend=np.uint64(0)))
+
+
+def hashes_of(packed: bytes) -> np.ndarray:
+    return np.cumsum(values_of(packed).view(np.uint64), dtype=np.uint64)
+
+
 def _spans(hashes: np.ndarray, n: int) -> list[slice]:
     """For sorted hashes, the part of each of n (a power of two) equal ranges."""
     edges = np.searchsorted(hashes >> np.uint64(32), np.arange(1, n, dtype=np.uint64) * np.uint64((1 << 32) // n))
@@ -161,7 +170,7 @@ def _spans(hashes: np.ndarray, n: int) -> list[slice]:
 
 
 def _repeated_in_stripe(documents: DataFrame, bits: int, stripe: int, stripes: int, window: int) -> DataFrame:
-    shared = documents.sparkSession.sparkContext.broadcast(sketch(documents, bits, stripe, stripes, window))
+    shared = documents.sparkSession.sparkContext.broadcast([row.tobytes() for row in sketch(documents, bits, stripe, stripes, window)])
     n_spans = max(1, (1 << bits) // RANGE_CELLS)
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +178,7 @@ def _repeated_in_stripe(documents: DataFrame, bits: int, stripe: int, stripes: i
 
         Decided windows are dealt by hash and document, so that they don't pile up where the others of their hash go.
         """
-        seen = shared.value
+        seen = [np.frombuffer(row, np.uint8) for row in shared.value]
         for hashes, ids in _blocks(batches, stripe, stripes, window):
             at = np.arange(hashes.shape[1])
             for row in range(ROWS):
@@ -190,7 +199,7 @@ def _repeated_in_stripe(documents: DataFrame, bits: int, stripe: int, stripes: i
             own_a, own_d, dealt = own_a[order], own_d[order], dealt[order]
             a, b, d = a[new], b[new], d[new]
             out = [
-                (k, a[x].tobytes(), b[x].tobytes(), planes(d[x]), own_a[y].tobytes(), planes(own_d[y]))
+                (k, steps(a[x]), b[x].tobytes(), planes(d[x]), own_a[y].tobytes(), planes(own_d[y]))
                 for k, (x, y) in enumerate(zip(_spans(a, n_spans), _spans(dealt, n_spans))) if x.stop > x.start or y.stop > y.start
             ]
             kinds = [pa.int32(), *[pa.binary()] * 5]
@@ -199,7 +208,7 @@ def _repeated_in_stripe(documents: DataFrame, bits: int, stripe: int, stripes: i
     def settle(keys: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The windows of a range whose document isn't the smallest of their hash, and the decided ones."""
         parts = [r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "d", "own_a", "own_d")))]
-        a = np.concatenate([np.frombuffer(r[0], np.uint64) for r in parts])
+        a = np.concatenate([hashes_of(r[0]) for r in parts])
         b = np.concatenate([np.frombuffer(r[1], np.uint32) for r in parts])
         d = np.concatenate([values_of(r[2]) for r in parts])
         order = np.lexsort((b, a))

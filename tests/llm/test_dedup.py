@@ -93,7 +93,10 @@ def test_substring_removal(frame, rows, bound, monkeypatch):
 
 def test_packed_cells_come_back():
     cells = np.sort(np.array([0, 0, 1, 254, 255, 256, 510, 100_000, 100_000, 1 << 20]))
-    assert sub.unpack(sub.pack(cells)).tolist() == cells.tolist()
+    for n in range(len(cells) + 1):
+        assert sub.unpack(sub.pack(cells[:n], 1 << 21), 1 << 21).tolist() == cells[:n].tolist()
+    hashes = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 50, dtype=np.uint64) * np.uint64(2))
+    assert sub.hashes_of(sub.steps(hashes)).tolist() == hashes.tolist()
 
 
 BENCHMARK = [(1, "alpha beta"), (1, "alpha beta"), (2, None), (3, "..."), (None, "gamma"), (10, "alpha")]
