@@ -85,10 +85,72 @@ QUERIES = {f.__name__: f for f in (
 #: A-Z lower-cased only, as the contracts have it.
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: Words of the contracts; RE2 reads bytes above 7F as parts of code points.
+_ALNUM = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+#: Backslashes behind the first character of what reads as a control string; a bracket of the template.
+_ESCAPED = r"regexp_replace(coalesce({0}, ''), '([\[<])(\\*)(/?(?:ROLE\]|INST\]|s>))', '\1\\\2\3', 'g')"
+
 ORACLES = {
     "op2_exact_dedup": f"""
         WITH k AS (SELECT doc_id, sha256({_LOWERED}) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, text_sha256
         FROM k WINDOW g AS (PARTITION BY text_sha256)""",
+    "op4_decontamination": f"""
+        WITH b AS (SELECT item_id, {_ALNUM.format(_LOWERED)} AS w FROM benchmark),
+        bw AS (SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(w[p + 1:p + least(13, len(w))], ' ') AS gram
+               FROM (SELECT item_id, w, unnest(range(len(w) - least(13, len(w)) + 1)) AS p FROM b WHERE len(w) > 0)),
+        d AS (SELECT doc_id, {_ALNUM.format(_LOWERED)} AS w FROM documents),
+        dw AS (SELECT doc_id, n, p, array_to_string(w[p + 1:p + n], ' ') AS gram
+               FROM (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS p FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+        h AS (SELECT doc_id, item_id, p, dw.n FROM dw JOIN bw USING (n, gram)),
+        hit AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS x FROM h) GROUP BY doc_id),
+        found AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM h GROUP BY doc_id),
+        starts AS (SELECT doc_id, item_id, p - q AS diagonal, p, n FROM (
+            SELECT h.doc_id, h.item_id, h.p, h.n, bp.q FROM h JOIN dw ON dw.doc_id = h.doc_id AND dw.n = h.n AND dw.p = h.p
+            JOIN (SELECT item_id, least(13, len(w)) AS n, q, array_to_string(w[q + 1:q + least(13, len(w))], ' ') AS gram
+                  FROM (SELECT item_id, w, unnest(range(len(w) - least(13, len(w)) + 1)) AS q FROM b WHERE len(w) > 0)) bp
+              ON bp.item_id = h.item_id AND bp.n = dw.n AND bp.gram = dw.gram)),
+        runs AS (SELECT *, p - row_number() OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY p) AS run FROM starts),
+        longest AS (SELECT doc_id, max(k) AS longest_match FROM (
+            SELECT doc_id, count(*) + max(n) - 1 AS k FROM runs GROUP BY doc_id, item_id, diagonal, run) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+               sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
+               coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated, CAST(longest_match AS BIGINT) AS longest_match
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id) LEFT JOIN longest USING (doc_id)""",
+    "op5_substring_dedup": f"""
+        WITH d AS (SELECT doc_id, {_SPACED} AS w FROM documents),
+        s AS (SELECT doc_id, p, array_to_string(w[p + 1:p + 13], ' ') AS gram
+              FROM (SELECT doc_id, w, unnest(range(len(w) - 12)) AS p FROM d WHERE len(w) >= 13)),
+        f AS (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY gram) AS first FROM s),
+        gone AS (SELECT DISTINCT doc_id, x FROM (SELECT doc_id, unnest(range(p, p + 13)) AS x FROM f WHERE first < doc_id)),
+        n AS (SELECT doc_id, count(*) AS n_removed, list(x) AS xs FROM gone GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(CASE WHEN n_removed IS NULL THEN array_to_string(w, ' ') ELSE kept END) AS kept_sha256
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (
+            SELECT doc_id, coalesce(string_agg(word, ' ' ORDER BY x) FILTER (gone.x IS NULL), '') AS kept
+            FROM (SELECT d.doc_id, unnest(w) AS word, unnest(range(len(w))) AS x FROM d JOIN n USING (doc_id))
+            LEFT JOIN gone USING (doc_id, x) GROUP BY doc_id) USING (doc_id)""",
+    "op9_html_extraction": r"""
+        WITH a AS (SELECT page_id, url, regexp_extract(html, '<article>(.*)</article>', 1, 's') AS body FROM pages),
+        b AS (SELECT page_id, url, unnest(string_split_regex(regexp_replace(regexp_replace(body, '</?b>', '', 'g'), '<br>', ' ', 'g'),
+                     '</?(p|h1)>')) AS x, generate_subscripts(string_split_regex(regexp_replace(regexp_replace(body, '</?b>', '', 'g'), '<br>', ' ', 'g'),
+                     '</?(p|h1)>'), 1) AS k FROM a),
+        c AS (SELECT page_id, url, k, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(x,
+              '&quot;', '"'), '&#x27;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS x FROM b)
+        SELECT page_id, url, coalesce(string_agg(x, chr(10) ORDER BY k) FILTER (x <> ''), '') AS text,
+               CAST(length(coalesce(string_agg(x, chr(10) ORDER BY k) FILTER (x <> ''), '')) AS BIGINT) AS n_chars
+        FROM c GROUP BY page_id, url""",
+    "op10_chat_formatting": f"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL VALUES (-1, 0, 'user', '{CONTROL_TEXT}'), (-1, 1, 'assistant', '{CONTROL_TEXT}'))
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')})
+                        + length('[ROLE][/ROLE]') + CASE WHEN role = 'assistant' THEN length('<s></s>') ELSE length('[INST][/INST]') END)
+                    AS BIGINT) AS formatted_chars
+        FROM t GROUP BY conv_id""",
 }

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quillbank.llm import chat, html_content as hc, mixing as mx
-from quillbank.llm.queries import CONTROL_TEXT
+from quillbank.llm.queries import CONTROL_TEXT, ORACLES, QUERIES
 from tests.llm import plain
 from tests.llm.conftest import plain_rows
 
@@ -151,3 +151,17 @@ def test_pipeline_against_plain_python(spark):
         reads[r.doc_id] += r.taken
     assert all(abs(taken[s] - target[s]) < 5 for s in size)
     assert all(n <= 2 * len(plain.SPACED.findall(left[i].text)) for i, n in reads.items())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="tables not present")
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_equal_their_sql(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    for file in os.listdir(SF_DIR):
+        con.execute(f"CREATE VIEW {file.split('.')[0]} AS SELECT * FROM '{SF_DIR}/{file}'")
+    cur = con.execute(ORACLES[name])
+    columns = [d[0] for d in cur.description]
+    got = QUERIES[name](spark, SF_DIR)
+    assert sorted(columns) == sorted(got.columns)
+    assert plain_rows(got, *columns) == sorted(cur.fetchall(), key=repr)
