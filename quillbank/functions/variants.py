@@ -78,8 +78,12 @@ def string_of(v: str) -> str:
 
 
 def number_of(v: str) -> str:
-    """The numeric value of a JSON number or boolean, NULL for anything else."""
-    return f"CASE WHEN {is_numeric(v)} THEN {field(v, '$', 'double')} END"
+    """The numeric value of a JSON number or boolean, NULL for anything else.
+
+    Integers, by far the most, are taken as they lie; any other type is converted.
+    """
+    return (f"CASE WHEN schema_of_variant({v}) = 'BIGINT' THEN CAST({field(v, '$', 'bigint')} AS double) "
+            f"WHEN {is_numeric(v)} THEN {field(v, '$', 'double')} END")
 
 
 def is_filled_string(v: str) -> str:
@@ -105,7 +109,7 @@ def is_falsy(v: str) -> str:
     return case(
         (f"{kind(v)} IN ('VOID', 'OBJECT<>')", "true"),
         (is_string(v), f"{field(v, '$', 'string')} = ''"),
-        (is_numeric(v), f"{field(v, '$', 'double')} = 0"),
+        (is_numeric(v), f"{number_of(v)} = 0"),
         (f"{kind(v)} LIKE 'ARRAY%'", f"NOT {is_filled_array(v)}"),
         otherwise="false",
     )
@@ -113,7 +117,10 @@ def is_falsy(v: str) -> str:
 
 def integer_below(v: str, bound: int) -> str:
     """True unless ``v`` is an integer of at least ``bound``."""
-    return f"(NOT {is_integer(v)} OR {field(v, '$', 'double')} < {bound})"
+    return case(
+        (f"schema_of_variant({v}) = 'BIGINT'", f"{field(v, '$', 'bigint')} < {bound}"),
+        otherwise=f"(NOT {is_integer(v)} OR {field(v, '$', 'double')} < {bound})",
+    )
 
 
 def shown(v: str) -> str:
@@ -121,6 +128,7 @@ def shown(v: str) -> str:
     text = field(v, "$", "string")
     return case(
         (is_string(v), text),
+        (f"{kind(v)} = 'BIGINT'", f"CAST({field(v, '$', 'bigint')} AS string)"),
         (f"{kind(v)} = 'VOID'", "'None'"),
         (is_boolean(v), f"initcap({text})"),
         (f"{kind(v)} RLIKE {WIDE_INTEGER_KIND}", text),
