@@ -15,7 +15,6 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -75,7 +74,6 @@ def token_runs(starts: list[int], ends: list[int], spans: list[tuple[int, int]])
     return runs
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str):
     """The tokenizer in `path`, with the control strings as tokens of their own and no others in texts."""
     from tokenizers import AddedToken, Tokenizer
@@ -123,6 +121,7 @@ def format_conversations(conversations: DataFrame, tokenizer: str = TOKENIZER) -
     rows = rows.sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(tokenizer)
         held: list[tuple] = []
         size = 0
         for conv_id, turns in _conversations(batches):
@@ -130,14 +129,14 @@ def format_conversations(conversations: DataFrame, tokenizer: str = TOKENIZER) -
             held.append((conv_id, formatted, spans, len(turns)))
             size += len(formatted)
             if size >= BATCH_CHARS:
-                yield encoded(held)
+                yield encoded(coder, held)
                 held, size = [], 0
         if held:
-            yield encoded(held)
+            yield encoded(coder, held)
 
-    def encoded(held: list[tuple]) -> pa.RecordBatch:
+    def encoded(coder, held: list[tuple]) -> pa.RecordBatch:
         out = []
-        for (conv_id, formatted, spans, n), e in zip(held, encoder(tokenizer).encode_batch([h[1] for h in held], add_special_tokens=False)):
+        for (conv_id, formatted, spans, n), e in zip(held, coder.encode_batch([h[1] for h in held], add_special_tokens=False)):
             starts, ends = [a for a, _ in e.offsets], [b for _, b in e.offsets]
             runs = [x for run in token_runs(starts, ends, spans) for x in run]
             out.append((conv_id, formatted, e.ids, starts, ends, runs, n))

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from quillbank.llm.frames import attach, slices, unpacked, words
+from quillbank.llm.frames import Shared, attach, slices, unpacked, words
 
 WINDOW = 13
 SHARD_WORDS = 1 << 20
@@ -227,13 +227,13 @@ def find_contamination(
     Null texts have no words; items without words match nothing; a null item_id counts as ''. Repeated rows
     each get their result.
     """
-    context = documents.sparkSession.sparkContext
+    spark = documents.sparkSession
     keep = documents.columns if keep is None else keep
     blocks = benchmark_blocks(benchmark, block_bytes)
     df = documents
     for k, items in enumerate(blocks):
         rows = items.distinct().sort("item", "words").collect()
-        shared = context.broadcast(Block.of([(r.item, (r.words or "").encode()) for r in rows], window))
+        shared = Shared(spark, Block.of([(r.item, (r.words or "").encode()) for r in rows], window))
         if k:
             df = df.select("row", F.col("row.text").alias("text"), F.col("found").alias("before"))
             df = attach(df, ["text", "before"], _lazy(shared, True), FOUND, ["row"])
@@ -245,7 +245,7 @@ def find_contamination(
 
 
 def _lazy(shared, before: bool):
-    return lambda batches: _work(shared.value, before)(batches)
+    return lambda batches: _work(shared.get(), before)(batches)
 
 
 def is_contaminated(found: str = "found"):

@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 #: ASCII letters and digits stay, letters in lower case; any other ASCII character parts words.
@@ -54,6 +55,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+class Shared:
+    """A value that every executor gets once. Only values of a bounded size; the caller says which bound."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get(self):
+        """The value, unpacked; ask once a task."""
+        return cloudpickle.loads(self.packed.value)
+
+
 def slices(column: pa.Array, step: int = 64) -> Iterator[bytes]:
     """The values of a string column as UTF-8, null as empty, few at a time so that a batch isn't held twice."""
     for at in range(0, len(column), step):

@@ -331,13 +331,13 @@ def with_main_text(pages: DataFrame, keep: list[str] | None = None, sample: int
 
     A null or empty page, and one without content, has an empty text. Repeated rows each get their result.
     """
-    shared = pages.sparkSession.sparkContext.broadcast(train(pages, sample))
+    weights = train(pages, sample)
 
     def work(batches: Iterator[dict[str, pa.Array]]) -> Iterator[pa.Array]:
         for batch in batches:
             texts, kept, total = [], [], []
             for page in slices(batch["html"]):
-                text, blocks, labels = main_text(page.decode("utf-8", "replace"), shared.value)
+                text, blocks, labels = main_text(page.decode("utf-8", "replace"), weights)
                 texts.append(text.encode("utf-8", "replace"))
                 kept.append(sum(labels))
                 total.append(len(blocks))

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quillbank.llm.frames import attach, cut, slices, words
+from quillbank.llm.frames import Shared, attach, cut, slices, words
 
 THRESHOLD = 0.6
 SALTS = 32
@@ -141,11 +141,12 @@ def line_counts(texts: DataFrame, templates: list[tuple[str, str]]) -> tuple[int
 
 def with_own_license(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
     """`files` packed by `attach`; `found` has the license of the text itself, the cosine and the line it begins in, or nulls."""
-    shared = files.sparkSession.sparkContext.broadcast(Templates.of(templates, *line_counts(files, templates)))
+    shared = Shared(files.sparkSession, Templates.of(templates, *line_counts(files, templates)))
 
     def work(batches: Iterator[dict[str, pa.Array]]) -> Iterator[pa.Array]:
+        known = shared.get()
         for batch in batches:
-            found = [scan(t, shared.value, threshold) or (None, None, None) for t in slices(batch["text"])]
+            found = [scan(t, known, threshold) or (None, None, None) for t in slices(batch["text"])]
             yield pa.StructArray.from_arrays(
                 [pa.array([f[1] for f in found], pa.string()), pa.array([f[0] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.int64())],
                 ["license", "score", "line"],

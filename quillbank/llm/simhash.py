@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from quillbank.llm.frames import attach, cut, slices, unpacked
+from quillbank.llm.frames import Shared, attach, cut, slices, unpacked
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -176,12 +176,13 @@ def stars(points: DataFrame, radius: int, shard_points: int = SHARD_POINTS) -> D
     rows = points.select("fingerprint").orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(SAMPLE).collect()
     sample = np.array([r[0] for r in rows], np.int64).view(np.uint64)
     levels = max(0, math.ceil(math.log2(max(1, n) / shard_points)))
-    tree = spark.sparkContext.broadcast(grow(sample, levels))
+    shared = Shared(spark, grow(sample, levels))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = shared.get()
         for batch in batches:
             values = batch.column(0).to_numpy()
-            found = list(visits(tree.value, values.view(np.uint64), radius))
+            found = list(visits(tree, values.view(np.uint64), radius))
             own = np.zeros(len(values), np.int64)
             for shard, at, home in found:
                 own[at[home]] = shard

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quillbank.llm.frames import attach, slices, unpacked, words
+from quillbank.llm.frames import Shared, attach, slices, unpacked, words
 
 BUCKETS = 1 << 20
 FEATURES = 2048
@@ -170,10 +170,10 @@ def with_score(documents: DataFrame, machine: Machine | None, keep: list[str] |
 
     A text without words, an empty or null one too, gets the score of no terms; without a machine all scores are 0.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(machine)
+    shared = Shared(documents.sparkSession, machine)
 
     def work(batches: Iterator[dict[str, pa.Array]]) -> Iterator[pa.Array]:
-        m = shared.value
+        m = shared.get()
         known: dict[bytes, tuple] = {}
         for batch in batches:
             scores = []
