@@ -81,9 +81,10 @@ def test_components_of_long_chains_and_hubs(spark):
 
 @pytest.mark.parametrize("bound", [None, 64])
 def test_substring_removal(frame, rows, bound, monkeypatch):
-    if bound:  # many stripes, small blocks, full sketches
-        monkeypatch.setattr(sub, "MAX_CELLS", 1 << 12)
-        monkeypatch.setattr(sub, "BLOCK_WINDOWS", bound)
+    if bound:  # many blocks and ranges, full sketches
+        monkeypatch.setattr(sub, "RANGE_CELLS", 1 << 12)
+        monkeypatch.setattr(sub, "CELLS_A_WINDOW", 0.5)
+        monkeypatch.setattr(sub, "BLOCK_WINDOWS", 32 * bound)
     found = sub.with_removal(frame(rows, clashing=True))
     want = sorted(plain.removal(pairs(rows)), key=repr)
     assert plain_rows(found.select("row.doc_id", "found.*"), "doc_id", "n_words", "n_removed", "kept") == want
