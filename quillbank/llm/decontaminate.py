@@ -101,7 +101,7 @@ def _bound(tokens, suffixes, low, high, depth, wanted, right):
     low, high = low.copy(), high.copy()
     while (open_ := low < high).any():
         middle = (low + high) >> 1
-        seen = tokens[suffixes[np.where(open_, middle, 0)] + depth]
+        seen = tokens[np.where(open_, suffixes[np.where(open_, middle, 0)] + depth, 0)]
         below = open_ & ((seen <= wanted) if right else (seen < wanted))
         low = np.where(below, middle + 1, low)
         high = np.where(open_ & ~below, middle, high)

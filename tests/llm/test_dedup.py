@@ -130,6 +130,21 @@ def test_longest_match_has_its_places(spark, frame):
     assert found.spans == [7, 33, 34, 48]
 
 
+def test_shards_that_end_in_benchmark_words():
+    """Of one document each: closed queries must not read behind the end of a shard."""
+    rng = random.Random(12)
+    for _ in range(300):
+        items = [(str(k), " ".join(rng.choices("abc", k=rng.randint(1, 20)))) for k in range(3)]
+        text = " ".join(["z"] * rng.randint(0, 2) + rng.choices("abc", k=rng.randint(1, 20)))
+        window = rng.randint(2, 13)
+        block = dec.Block.of([(i, t.encode()) for i, t in items], window)
+        document = np.array([block.numbers.get(w, 0) for w in dec.words(text.encode())], np.int32)
+        [found] = dec._search([document], block)
+        hit = {x for b, e in zip(found["spans"][::2], found["spans"][1::2]) for x in range(b, e)}
+        [(_, n, n_hit, ids, _)] = plain.contamination([(1, text)], items, window)
+        assert (len(document), len(hit), sorted(set(found["items"]))) == (n, n_hit, ids)
+
+
 def test_suffix_array_is_sorted():
     rng = np.random.default_rng(1)
     tokens = np.append(rng.integers(0, 4, 500), 0).astype(np.int32)
