@@ -3,7 +3,8 @@
 A page becomes a row of text blocks in page order. Each block is a node of a graph:
 
 - its terminal capacities are the costs of calling it content or boilerplate: the log odds of a classifier on the block's
-  text and links, plus fixed evidence from the elements it lies in;
+  text and links, plus fixed evidence from the elements it lies in. Inside content, classes and ids are weaker evidence than classifier
+  and edges together, so the cut can keep an article's section on a topic that names boilerplate elsewhere;
 - edges join neighbours in the page and following blocks of the same parent; the nearer two blocks are in the tree, the
   more it costs to label them differently.
 
@@ -34,6 +35,9 @@ SAMPLE = 2000
 #: Cost, in log odds, of going against the elements a block lies in.
 BOILERPLATE_EVIDENCE = 8.0
 CONTENT_EVIDENCE = 4.0
+#: The same for containers that classes or ids name, outside of content; for those inside of it, and for other elements outside.
+NAMED_EVIDENCE = 6.0
+WEAK_EVIDENCE = 2.0
 #: Bounds of the classifier's log odds.
 CLASSIFIER_BOUND = 3.0
 #: Cost of labelling neighbours differently, for blocks of one parent; halved for each step further in the tree.
@@ -54,6 +58,8 @@ STOPS_CLOSING = frozenset("ul ol menu dir dl table body html".split())
 VOID_TAGS = frozenset("hr".split())
 BOILERPLATE_TAGS = frozenset("nav aside footer form fieldset dialog menu search button".split())
 CONTENT_TAGS = frozenset("article main".split())
+HEADING_TAGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+LEAF_TAGS = frozenset("address blockquote caption dt figcaption legend p pre summary".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alertdialog".split())
 BOILERPLATE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie "
@@ -71,16 +77,17 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+')*+>|[^>]*+(?:>|\Z))",
     re.S | re.I,
 )
-_NAMES = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?|"[^"]*"|'[^']*'""")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 @dataclass
 class Element:
-    """An open block element; `kind` is -1 inside boilerplate, 1 inside content, 0 elsewhere."""
+    """An open block element; `evidence` is for its text being content, `inside` tells if it lies in content."""
 
     tag: str
-    kind: int
+    evidence: float
+    inside: bool
     number: int
     depth: int
 
@@ -89,7 +96,7 @@ class Element:
 class TextBlock:
     text: str
     linked: int
-    kind: int
+    evidence: float
     parents: tuple[int, ...]
     tag: str
 
@@ -100,32 +107,60 @@ class _Open:
     linked: int = 0
 
 
-def element_kind(tag: str, attributes: str, above: int) -> int:
-    """What an element says of the text in it; boilerplate inside content is boilerplate, and stays so."""
-    if above < 0 or tag in BOILERPLATE_TAGS or tag == "header" and above <= 0:
-        return -1
-    kind = 1 if tag in CONTENT_TAGS else above
-    for name, *values in _NAMES.findall(attributes):
-        name, value = name.lower(), "".join(values)
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return -1
-        if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return -1
-        if name == "role" and value.lower() in BOILERPLATE_ROLES:
-            return -1
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-            words = {w.lower() for w in _PARTS.findall(value)}
-            if words & BOILERPLATE_NAMES - ({"header"} if words & CONTENT_NAMES else set()):
-                return -1
-            if words & CONTENT_NAMES:
-                kind = 1
-    return kind
+def attributes_of(text: str) -> dict[str, str]:
+    """Values by lower-case name; of equal names the first counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text):
+        if m[1]:
+            found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return found
+
+
+def is_hard(tag: str, attributes: dict[str, str], inside: bool) -> bool:
+    """Boilerplate, or not shown, whatever it holds."""
+    return (
+        tag in BOILERPLATE_TAGS or tag == "header" and not inside or "hidden" in attributes
+        or attributes.get("aria-hidden", "").strip().lower() == "true" or attributes.get("role", "").strip().lower() in BOILERPLATE_ROLES
+        or re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I) is not None
+    )
+
+
+def element_evidence(tag: str, text: str, above: float, inside: bool) -> tuple[float, bool]:
+    """What an element with the attributes `text` says of its own text, and whether it lies in content.
+
+    Boilerplate by element, role or hiding stays so, inside content too. A class or id that names boilerplate is evidence: for
+    containers its parts count too, for leaves whole values only, for headings (whose ids come from their words) nothing.
+    """
+    if above <= -BOILERPLATE_EVIDENCE:
+        return above, inside
+    attributes = attributes_of(text)
+    if is_hard(tag, attributes, inside):
+        return -BOILERPLATE_EVIDENCE, inside
+    if tag in CONTENT_TAGS:
+        if inside:
+            return above, True
+        return (0.0 if above < 0 else CONTENT_EVIDENCE), True
+    if tag in ("html", "body"):
+        return above, inside
+    given = [*attributes.get("class", "").split(), attributes.get("id", "").strip()]
+    parts = {w.lower() for value in given for w in _PARTS.findall(value)}
+    content = bool(parts & CONTENT_NAMES)
+    if tag not in HEADING_TAGS:
+        whole = not BOILERPLATE_NAMES.isdisjoint(value.lower() for value in given)
+        named = parts & BOILERPLATE_NAMES - ({"header"} if content else set())
+        if whole and named and tag in LEAF_TAGS:
+            return min(above, 0.0 if inside else -WEAK_EVIDENCE), inside
+        if named and tag not in LEAF_TAGS:
+            return min(above, (-WEAK_EVIDENCE if whole else 0.0) if inside else 0.0 if content else -NAMED_EVIDENCE), inside
+    if content and above >= 0 and not inside:
+        return CONTENT_EVIDENCE, True
+    return above, inside
 
 
 def text_blocks(page: str) -> list[TextBlock]:
     """The texts between block tags, in page order, with white space made single and character references decoded."""
     blocks: list[TextBlock] = []
-    stack: list[Element] = [Element("", 0, 0, 0)]
+    stack: list[Element] = [Element("", 0.0, False, 0, 0)]
     made = 0
     now = _Open()
     link = False
@@ -134,7 +169,7 @@ def text_blocks(page: str) -> list[TextBlock]:
         nonlocal now
         text = " ".join(html.unescape("".join(now.parts)).split())
         if text:
-            blocks.append(TextBlock(text, min(now.linked, len(text)), stack[-1].kind, tuple(e.number for e in stack), stack[-1].tag))
+            blocks.append(TextBlock(text, min(now.linked, len(text)), stack[-1].evidence, tuple(e.number for e in stack), stack[-1].tag))
         now = _Open()
 
     def add(text: str):
@@ -177,7 +212,7 @@ def text_blocks(page: str) -> list[TextBlock]:
         if tag in VOID_TAGS:
             continue
         made += 1
-        stack.append(Element(tag, element_kind(tag, m[5], stack[-1].kind), made, len(stack)))
+        stack.append(Element(tag, *element_evidence(tag, m[5], stack[-1].evidence, stack[-1].inside), made, len(stack)))
     add(page[at:])
     flush()
     return blocks
@@ -295,7 +330,7 @@ def main_text(page: str, weights: np.ndarray) -> tuple[str, list[TextBlock], lis
     if not blocks:
         return "", blocks, []
     odds = np.clip(features(blocks) @ weights, -CLASSIFIER_BOUND, CLASSIFIER_BOUND).tolist()
-    cost = [o + (CONTENT_EVIDENCE if b.kind > 0 else -BOILERPLATE_EVIDENCE if b.kind < 0 else 0) for o, b in zip(odds, blocks)]
+    cost = [o + b.evidence for o, b in zip(odds, blocks)]
     labels = minimum_cut(cost, smoothness(blocks))
     return "\n".join(b.text for b, content in zip(blocks, labels) if content), blocks, labels
 
@@ -307,8 +342,8 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> np.ndarray:
         for batch in batches:
             rows = []
             for page in slices(batch["html"]):
-                blocks = [b for b in text_blocks(page.decode("utf-8", "replace")) if b.kind]
-                x = np.hstack([features(blocks), np.array([[b.kind > 0] for b in blocks], float).reshape(len(blocks), 1)])
+                blocks = [b for b in text_blocks(page.decode("utf-8", "replace")) if b.evidence > 0 or b.evidence <= -NAMED_EVIDENCE]
+                x = np.hstack([features(blocks), np.array([[b.evidence > 0] for b in blocks], float).reshape(len(blocks), 1)])
                 rows.append(x.tobytes())
             yield pa.StructArray.from_arrays([pa.array(rows, pa.binary())], ["x"])
 

@@ -3,6 +3,7 @@
 import itertools
 import os
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -30,6 +31,34 @@ def test_main_text_of_a_page():
     assert hc.main_text(PAGE, np.zeros(8))[0] == TEXT
 
 
+@pytest.mark.parametrize("part", [
+    '<h2 id="related-work">Kept.</h2>', '<h2 id="comments">Kept.</h2>', '<section id="search-algorithms"><h2>Kept</h2><p>So is this.</p></section>',
+    '<p class="notice">Kept.</p>', '<p title="The hidden valley">Kept.</p>', '<div data-hidden="false">Kept.</div>', "<p title='id=\"x\" class=\"ad\"'>Kept.</p>",
+    '<div class="share-prices"><header><h2>Kept</h2></header>Text.</div>',
+])
+def test_names_in_an_article_do_not_lose_its_text(part):
+    page = f"<nav><a href=/>Home</a></nav><article><p>Before it.</p>{part}<p>Behind it.</p></article><footer>me</footer>"
+    text = hc.main_text(page, np.zeros(8))[0]
+    assert text.split("\n") == ["Before it.", *[t for t in re.sub("<[^>]*>", "\n", part).split("\n") if t], "Behind it."]
+
+
+def test_the_cut_decides_on_named_sections_in_an_article():
+    page = '<article><p>Before it.</p><section id="search"><p>A part of it.</p></section><p>Behind it.</p></article>'
+    for bias, kept in ((3.0, True), (-1.0, False)):
+        assert ("A part of it." in hc.main_text(page, np.array([bias] + [0.0] * 7))[0]) == kept
+
+
+def test_hidden_and_named_parts_still_go():
+    parts = ["<p hidden>x</p>", "<div aria-hidden=true>x</div>", "<p style='display: none'>x</p>", '<ul class="tags"><li>x</ul>', '<div role="search">x</div>']
+    page = "<article><p>Kept.</p>" + "".join(parts) + "</article>" + '<div class="related-posts"><p>x</p></div>'
+    assert hc.main_text(page, np.zeros(8))[0] == "Kept."
+
+
+def test_an_article_in_a_named_wrapper_is_left_to_the_cut():
+    page = "<div class='with-sidebar'><article><p>Kept.</p></article><p>x</p></div>"
+    assert hc.main_text(page, np.array([3.0] + [0.0] * 7))[0] == "Kept."
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "<script>x", "a < b > c", "<p>" * 3000, "</div>" * 50, "<div class='", "&#0;&#xD800;&bogus; x", "<!--", "<svg>y"])
 def test_broken_pages_do_not_fail(page):
     text, blocks, labels = hc.main_text(page, np.zeros(8))
