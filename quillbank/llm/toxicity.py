@@ -1,10 +1,12 @@
 """Toxicity with a factorization machine over hashed terms.
 
-A text's terms are its distinct words and their beginnings, hashed to `BUCKETS` buckets. The `FEATURES` buckets that part the
-classes best in the training rows become features. The machine sums their weights and, for every pair of features
+A text's terms are its distinct words and their beginnings, hashed to `BUCKETS` buckets. Counted over all labelled rows that aren't
+held out, the `FEATURES` / 2 buckets that part the classes best and the `FEATURES` / 2 that most rows have become features; the
+latter may be even alone and tell together. The machine sums their weights and, for every pair of features
 that meet in a text, the product of their factors: score = sigmoid(b + sum w_i + sum_{i<j} <v_i, v_j>), so an
 insult and a group mention can weigh more together than apart.
 
+The counts of all rows also give each weight the value it starts from and is drawn to, so a term too rare for the sample is learnt.
 Training takes at most `SAMPLE` labelled rows of each class, in the order of a hash of their ids, weighted back to the
 true class sizes, in one task. Scoring is a narrow pass over all whole texts.
 """
@@ -19,18 +21,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quillbank.llm.frames import Shared, attach, slices, unpacked, words
+from quillbank.llm.frames import Shared, attach, cut, slices, unpacked, words
 
 BUCKETS = 1 << 20
-FEATURES = 2048
+FEATURES = 8192
 FACTORS = 8
 SAMPLE = 4096
 PREFIXES = (4, 5, 6)
 EPOCHS = 12
 BATCH = 256
 THRESHOLD = 0.3
-#: Standard deviations from even odds that a bucket needs to become a feature.
-LEAST_Z = 2.5
+#: Labelled rows that a bucket needs to become a feature.
+LEAST_ROWS = 5
 #: Words whose features a task remembers before it starts anew.
 REMEMBERED = 1 << 19
 
@@ -74,44 +76,91 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def select_features(rows: list[np.ndarray], label: np.ndarray, weight: np.ndarray, features: int) -> np.ndarray:
-    """Buckets whose log odds between the classes are furthest from zero, in standard deviations."""
-    sides = []
-    for side in (1, 0):
-        mine = [r for r, y in zip(rows, label) if y == side]
-        sides.append((np.bincount(np.concatenate(mine), minlength=BUCKETS) if mine else np.zeros(BUCKETS), len(mine)))
-    (a, n_a), (b, n_b) = sides
+@dataclass
+class Terms:
+    """Buckets that become features, in order, and the weights to start from."""
+
+    bucket: np.ndarray
+    prior: np.ndarray
+
+    @classmethod
+    def of(cls, bucket: np.ndarray, a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, features: int) -> Terms:
+        """From the toxic (a) and other (b) rows that each bucket is in. A word has up to four buckets, so each starts from a
+        quarter of its log odds, less of it the fewer standard deviations these are from zero."""
+        odds, z = np.log((a + 0.5) / (n_a - a + 0.5)) - np.log((b + 0.5) / (n_b - b + 0.5)), deviations(a, b, n_a, n_b)
+        usable = np.flatnonzero(a + b >= LEAST_ROWS)
+        telling = usable[np.lexsort((bucket[usable], -z[usable]))][: features // 2]
+        common = usable[np.lexsort((bucket[usable], -(a + b)[usable]))][: features // 2]
+        at = np.union1d(telling, common).astype(np.int64)
+        at = at[np.argsort(bucket[at])]
+        return cls(bucket[at], (odds * z**2 / (z**2 + 4) / (1 + len(PREFIXES)))[at])
+
+
+def deviations(a, b, n_a, n_b):
+    """How many standard deviations the log odds of a bucket are from zero; arrays."""
     odds = np.log((a + 0.5) / (n_a - a + 0.5)) - np.log((b + 0.5) / (n_b - b + 0.5))
-    z = np.abs(odds) / np.sqrt(1 / (a + 0.5) + 1 / (n_a - a + 0.5) + 1 / (b + 0.5) + 1 / (n_b - b + 0.5))
-    z[a + b < 3] = 0
-    best = np.argsort(-z, kind="stable")[:features]
-    return np.sort(best[z[best] > LEAST_Z])
+    return np.abs(odds) / np.sqrt(1 / (a + 0.5) + 1 / (n_a - a + 0.5) + 1 / (b + 0.5) + 1 / (n_b - b + 0.5))
+
+
+def terms_of_rows(rows: list[np.ndarray], label: np.ndarray, features: int) -> Terms:
+    a, b = (np.bincount(np.concatenate([r for r, y in zip(rows, label) if y == side] or [np.zeros(0, np.int64)]).astype(np.int64), minlength=BUCKETS) for side in (1, 0))
+    return Terms.of(np.arange(BUCKETS), a, b, int((label == 1).sum()), int((label == 0).sum()), features)
 
 
-def fit(rows: list[np.ndarray], label: np.ndarray, weight: np.ndarray, features: int = FEATURES, factors: int = FACTORS, epochs: int = EPOCHS) -> Machine:
+def count_terms(documents: DataFrame, usable: DataFrame, features: int) -> Terms:
+    """The terms of all rows of `usable` (doc_id, label); candidates are picked by Spark, at most `features` come to the driver."""
+    texts = documents.select("doc_id", "text").join(usable, "doc_id").select("text", "label")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Buckets()
+        counts = np.zeros((2, BUCKETS + 1), np.int64)
+        for batch in batches:
+            for text, label in zip(slices(batch.column(0)), batch.column(1).to_pylist()):
+                counts[label, text_buckets(text, known)] += 1
+                counts[label, BUCKETS] += 1
+        at = np.flatnonzero(counts.any(axis=0))
+        for k in range(0, len(at), 10_000):
+            some = at[k : k + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[1, some]), pa.array(counts[0, some])], names=["bucket", "a", "b"])
+
+    counted = cut(texts.mapInArrow(work, "bucket bigint, a bigint, b bigint").groupBy("bucket").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+    total = counted.where(F.col("bucket") == BUCKETS).first()
+    n_a, n_b = (total.a, total.b) if total else (0, 0)
+    a, b = F.col("a") + 0.5, F.col("b") + 0.5
+    other_a, other_b = n_a + 1 - a, n_b + 1 - b
+    z = F.abs(F.log(a / other_a) - F.log(b / other_b)) / F.sqrt(1 / a + 1 / other_a + 1 / b + 1 / other_b)
+    open_ = counted.where((F.col("bucket") < BUCKETS) & (F.col("a") + F.col("b") >= LEAST_ROWS))
+    telling = open_.orderBy(z.desc(), "bucket").limit(features // 2)
+    common = open_.orderBy((F.col("a") + F.col("b")).desc(), "bucket").limit(features // 2)
+    rows = sorted({tuple(r) for half in (telling, common) for r in half.collect()})
+    bucket, a, b = np.array(rows, np.int64).reshape(-1, 3).T
+    return Terms.of(bucket, a, b, n_a, n_b, 2 * features)
+
+
+def fit(rows: list[np.ndarray], label: np.ndarray, weight: np.ndarray, features: int = FEATURES, factors: int = FACTORS, epochs: int = EPOCHS, terms: Terms | None = None) -> Machine:
     """Weighted logistic loss, small squared penalties, Adam on batches in a fixed random order."""
-    chosen = select_features(rows, label, weight, features)
+    terms = terms_of_rows(rows, label, features) if terms is None else terms
+    chosen, prior = terms.bucket, terms.prior
     feature = np.full(BUCKETS, -1, np.int16)
     feature[chosen] = np.arange(len(chosen))
-    x = np.zeros((len(rows), len(chosen)), np.float32)
-    for k, r in enumerate(rows):
-        f = feature[r]
-        x[k, f[f >= 0]] = 1
+    held = [f[f >= 0] for f in (feature[r] for r in rows)]
     random = np.random.default_rng(7)
     share = float(np.clip((weight * label).sum() / weight.sum(), 1e-4, 1 - 1e-4))
-    parts = [np.array([np.log(share / (1 - share))]), np.zeros(len(chosen)), random.normal(0, 0.05, (len(chosen), factors))]
+    parts = [np.array([np.log(share / (1 - share))]), prior.copy(), random.normal(0, 0.05, (len(chosen), factors))]
     first, second = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
     scale = weight / weight.mean()
     step = 0
     for _ in range(epochs):
         for at in np.array_split(random.permutation(len(rows)), max(1, len(rows) // BATCH)):
             b, w, v = parts
-            xb = x[at]
+            xb = np.zeros((len(at), len(chosen)))
+            for k, row in enumerate(at):
+                xb[k, held[row]] = 1
             xv = xb @ v
             z = b[0] + xb @ w + 0.5 * ((xv**2).sum(axis=1) - xb @ (v**2).sum(axis=1))
             g = scale[at] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - label[at]) / len(at)
             xg = xb.T @ g
-            slopes = [np.array([g.sum()]), xg + 1e-4 * w, xb.T @ (g[:, None] * xv) - v * xg[:, None] + 1e-4 * v]
+            slopes = [np.array([g.sum()]), xg + 1e-4 * (w - prior), xb.T @ (g[:, None] * xv) - v * xg[:, None] + 1e-4 * v]
             step += 1
             for p, m, s, d in zip(parts, first, second, slopes):
                 m += 0.1 * (d - m)
@@ -134,6 +183,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mach
         chosen += [(r.doc_id, side, sizes[side] / len(rows)) for r in rows]
     if not chosen:
         return None
+    terms = count_terms(documents, usable, FEATURES)
     picked = spark.createDataFrame(chosen, "doc_id bigint, label int, weight double")
     texts = documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
@@ -147,7 +197,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mach
     def fit_rows(group: pa.Table) -> pa.Table:
         group = group.sort_by([("doc_id", "ascending"), ("label", "ascending"), ("buckets", "ascending")])
         rows = [np.frombuffer(b, np.uint32) for b in group.column("buckets").to_pylist()]
-        m = fit(rows, group.column("label").to_numpy().astype(float), group.column("weight").to_numpy())
+        m = fit(rows, group.column("label").to_numpy().astype(float), group.column("weight").to_numpy(), terms=terms)
         return pa.table({
             "bias": [m.bias], "chosen": [np.flatnonzero(m.feature >= 0).astype(np.int32).tobytes()],
             "weight": [m.weight.tobytes()], "factor": [m.factor.tobytes()],

@@ -32,6 +32,30 @@ def test_machine_learns_what_only_pairs_tell():
     assert ((score > 0.5) == y[2000:]).mean() > 0.97
 
 
+def test_pairs_whose_terms_are_even_alone():
+    rng = random.Random(6)
+    filler, rows = [f"w{k}" for k in range(200)], []
+    for _ in range(4000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        rows.append((" ".join(rng.choices(filler, k=12) + ["xab"] * a + ["yab"] * b), int(a == b)))
+    known = tx.Buckets()
+    x = [tx.text_buckets(t.encode(), known) for t, _ in rows]
+    y = np.array([r[1] for r in rows], float)
+    m = tx.fit(x[:3000], y[:3000], np.ones(3000), epochs=30)
+    score = np.array([m.score(m.feature[r][m.feature[r] >= 0]) for r in x[3000:]])
+    assert ((score > 0.5) == y[3000:]).mean() > 0.95
+
+
+def test_a_rare_insult_is_learnt_from_all_labels(spark, frame):
+    rows = [(i, t + " dreadful" * y + " scoundrel" * (i % 100 == 1), int(y or i % 100 == 1)) for i, t, y in labelled(3000)]
+    docs = frame([(i, "s", t) for i, t, _ in rows])
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    machine = tx.train(docs, labels, sample=150)
+    said = frame([(1, "s", "word1 word2 word3 scoundrel"), (2, "s", "word1 word2 word3")])
+    got = {r.row.doc_id: r.found.score for r in tx.with_score(said, machine).collect()}
+    assert got[1] >= tx.THRESHOLD > got[2]
+
+
 def test_scores_of_held_out_rows(spark, frame):
     rows = labelled(1200)
     docs = frame([(i, "s", t) for i, t, _ in rows] + [(5000, "s", None), (5001, None, ""), (None, "s", "awful neighbours"), (5002, "s", "w " * 30_000), (1, "s", rows[1][1])], clashing=True)
