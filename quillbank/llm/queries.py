@@ -8,14 +8,17 @@ from quillbank.llm import chat, decontaminate, exact_dedup, html_content, licens
 from quillbank.llm.frames import table, unpacked
 
 
-def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _with_path(documents: DataFrame) -> DataFrame:
     """Documents have no path; they get one by source and id, in which some stand for the licence files of directories."""
     name = F.when(F.col("doc_id") % 50 == 0, "LICENSE").otherwise(F.format_string("%d.txt", "doc_id"))
     folder = F.when(F.col("doc_id") % 1000 == 0, F.format_string("/%d", F.expr("doc_id div 10000"))).otherwise(
         F.format_string("/%d/%d", F.expr("doc_id div 10000"), F.expr("doc_id div 1000")))
     folder = F.when(F.col("doc_id") % 10000 == 0, "").otherwise(folder)
-    files = table(spark, sf_dir, "documents").select("doc_id", F.concat("source", folder, F.lit("/"), name).alias("path"), "text")
-    return licenses.licenses(files)
+    return documents.select("doc_id", F.concat("source", folder, F.lit("/"), name).alias("path"), "text")
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(_with_path(table(spark, sf_dir, "documents")))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +49,7 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The value of a finding is shown by its digest."""
-    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("path"), "text"))
+    found = secrets.scan(_with_path(table(spark, sf_dir, "documents")))
     return found.select(
         "doc_id", "line_no", "word_no", "part", F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"), "coverage", "score", "secret",
         secrets.held_out(F.col("doc_id")).alias("held_out"),

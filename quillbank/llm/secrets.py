@@ -1,6 +1,7 @@
 """Secret scans with a random forest; DataFrame, SQL and ML functions of the JVM only.
 
-Candidates are runs of 16 or more characters of keys (letters, digits, + / _ -) with a digit among them. What a candidate looks
+Candidates are runs of 16 or more characters of keys (letters, digits, + / _ -) with a digit among them, and any value, of whatever
+length and signs up to the next space or quote, that is assigned to a word which names secrets. What a candidate looks
 like and what stands around it become features: its length, how its character classes change, how much of it is words that the
 corpus uses, the path, and the neighbouring words. The forest, trained from labelled findings, tells secrets from numbers, names
 and links.
@@ -30,6 +31,21 @@ RUN = r"[A-Za-z0-9+/_-]{16,}"
 CANDIDATE = r"(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}"
 # Words that name secrets, and parts of paths where findings are seldom real.
 KEY_WORDS = r"(?i)(^|[^a-z])(passw(or)?d|pwd|passphrase|secret|token|api_?key|access_?key|private_?key|auth|bearer|credentials?|key)([^a-z]|$)"
+_KEY = r"(?:passw(?:or)?d|pwd|passphrase|secret|token|api_?key|access_?key|private_?key|auth|authorization|bearer|credentials?|key)"
+ASSIGNED = rf"(?i)(?:^|[^a-z]){_KEY}[a-z0-9_.-]*[\"'\]]*(?::=|=>|[=:])[\"'`]*([^\s\"'`]+)"
+NAMES_VALUE = rf"(?i)(?:^|[^a-z]){_KEY}[a-z0-9_.-]*[\"'\]]*\s*(?::=|=>|[=:])$"
+#: Formats of keys by which their issuers know them.
+ISSUED = "^(" + "|".join((
+    "(AKIA|ASIA)[0-9A-Z]{16}", "gh[pousr]_[A-Za-z0-9]{36,}", "github_pat_[A-Za-z0-9_]{22,}", "glpat-[A-Za-z0-9_-]{20,}", "[sr]k_(live|test)_[A-Za-z0-9]{16,}",
+    "whsec_[A-Za-z0-9+/=]{20,}", "xox[abeprs]-[A-Za-z0-9-]{10,}", "AIza[A-Za-z0-9_-]{35}", "ya29[.][A-Za-z0-9_-]{20,}", "npm_[A-Za-z0-9]{36}",
+    "pypi-[A-Za-z0-9_-]{32,}", "SG[.][A-Za-z0-9_-]{16,}[.][A-Za-z0-9_-]{16,}", "sk-[A-Za-z0-9_-]{20,}", "hf_[A-Za-z0-9]{30,}",
+    "dop_v1_[0-9a-f]{64}", "shp(at|ca|pa|ss)_[0-9a-fA-F]{32}", "eyJ[A-Za-z0-9_-]{8,}([.][A-Za-z0-9_-]+){0,2}",
+)) + ")$"
+#: Values that are no keys: numbers, words joined by signs, paths of words, ids of the UUID kind, references to where a value is.
+NO_KEY = "^(" + "|".join((
+    "[0-9/_+-]+", "[/_+-]*[a-z]+[0-9]{0,4}([/_+-]+([a-z]+[0-9]{0,4}|[0-9]{1,8}))+[/_+-]*",
+    "[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", r"[$%][({]?[A-Za-z_][A-Za-z0-9_.]*[)}%]?", "[<{].*[>}]", r"(?i)(true|false|null|none|nil)[,;]?",
+)) + ")$"
 QUIET_PATHS = r"(?i)(^|[/_.-])(tests?|examples?|samples?|docs?|fixtures?|mocks?)([/_.-]|$)"
 
 FEATURES = [
@@ -41,15 +57,27 @@ FEATURES = [
 def candidates(documents: DataFrame) -> DataFrame:
     """One row for each candidate of `documents` (doc_id, path, text): where it stands, its value and its neighbours in the line."""
     lines = documents.select("doc_id", F.coalesce("path", F.lit("")).alias("path"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    found = lines.where(F.col("line").rlike(CANDIDATE))
+    named = F.col("line").rlike(rf"(?i){_KEY}[^\n]*[=:]")
+    found = lines.where(F.col("line").rlike(CANDIDATE) | named)
     found = found.withColumn("words", F.regexp_extract_all("line", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
     at = lambda n: F.coalesce(F.get("words", F.col("word_no") + n), F.lit(""))
-    found = found.select("doc_id", "path", "line_no", "words", F.posexplode("words").alias("word_no", "word")).where(F.col("word").rlike(CANDIDATE))
+    found = found.select("doc_id", "path", "line_no", "words", F.posexplode("words").alias("word_no", "word"))
     found = found.select(
-        "doc_id", "path", "line_no", "word_no", "word", F.concat_ws(" ", at(-3), at(-2), at(-1)).alias("before"),
-        F.concat_ws(" ", at(1), at(2)).alias("after"), F.posexplode(F.regexp_extract_all("word", F.lit(RUN), F.lit(0))).alias("part", "value"),
+        "doc_id", "path", "line_no", "word_no", "word", F.concat_ws(" ", at(-3), at(-2), at(-1)).alias("before"), F.concat_ws(" ", at(1), at(2)).alias("after"),
     )
-    return found.where(F.col("value").rlike("[0-9]"))
+    # A value assigned within the word, or the whole word behind a name with a sign of assignment; brackets and stops behind it aside.
+    inside = F.regexp_extract("word", ASSIGNED, 1)
+    whole = F.when(F.col("before").rlike(NAMES_VALUE) & ~F.col("word").rlike("^[=:]+$"), F.regexp_extract("word", "^[\"'`]*([^\"'`]+)", 1)).otherwise("")
+    found = found.withColumn("given", F.regexp_replace(F.when(inside != "", inside).otherwise(whole), r"[,;)\]]+$", ""))
+    runs = F.filter(F.regexp_extract_all("word", F.lit(RUN), F.lit(0)), lambda r: r.rlike("[0-9]"))
+    positions = F.filter(F.transform(F.regexp_extract_all("word", F.lit(RUN), F.lit(0)), lambda r, k: F.struct(k.alias("part"), r.alias("value"))), lambda r: r.value.rlike("[0-9]"))
+    # Runs that are pieces of the assigned value are not shown beside it; the value has the part behind the last run.
+    known = F.array_contains(runs, F.col("given")) | (F.col("given") == "")
+    apart = F.filter(positions, lambda r: ~F.contains(F.col("given"), r.value))
+    last = F.size(F.regexp_extract_all("word", F.lit(RUN), F.lit(0)))
+    shown = F.when(known, positions).otherwise(F.concat(apart, F.array(F.struct(last.alias("part"), F.col("given").alias("value")))))
+    found = found.withColumn("shown", F.explode(shown))
+    return found.select("doc_id", "path", "line_no", "word_no", "word", "before", "after", "shown.part", "shown.value")
 
 
 def _letters(text: Column) -> Column:
@@ -125,10 +153,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def issued_format() -> Column:
-    """Labels for a corpus without reviewed findings: 1 for an access key id in its issuer's format, and for a hexadecimal value assigned
-    to a word that names a secret; else 0."""
-    named = F.concat_ws(" ", "before", F.expr("substring_index(word, value, 1)")).rlike(r"(?i)(password|token|secret)\s*[=:]\s*[\"']?$")
-    return (F.col("value").rlike("^AKIA[0-9A-Z]{16}$") | (named & F.col("value").rlike("^[0-9a-f]{16,}$"))).cast("int")
+    """Labels for a corpus without reviewed findings: 1 for a value in the format of an issuer of keys, and for a hexadecimal value
+    assigned to a word that names a secret; 0 for what is no key by its form; null, which training leaves out, for all others."""
+    named = F.concat_ws(" ", "before", F.expr("substring_index(word, value, 1)")).rlike(r"(?i)(passw(or)?d|token|secret|api_?key)[\"']?\s*[=:]\s*[\"']?$")
+    value = F.col("value")
+    return F.when(value.rlike(ISSUED) | named & value.rlike("^[0-9a-f]{16,}$"), 1).when(value.rlike(NO_KEY), 0)
 
 
 def scan(documents: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE) -> DataFrame:

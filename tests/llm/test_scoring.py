@@ -111,6 +111,22 @@ def test_forest_on_held_out_findings(spark):
     assert len(right) > 60 and sum(right) / len(right) > 0.95
 
 
+def test_assigned_values_of_any_form_are_candidates(spark):
+    given = {
+        "password=Tr0ub4dor&3": "Tr0ub4dor&3", 'token: "abcdefgh"': "abcdefgh", "secret = correcthorse;": "correcthorse", "db_password=a!b@c": "a!b@c",
+        "api_key=0123456789abcdef&0123456789abcdef": "0123456789abcdef&0123456789abcdef", "password=north1234567890abc": "north1234567890abc",
+    }
+    docs = spark.createDataFrame([(k, "x", f"so {t} here") for k, t in enumerate(given)], "doc_id bigint, path string, text string")
+    assert sorted((r.doc_id, r.value) for r in se.candidates(docs).collect()) == list(enumerate(given.values()))
+
+
+def test_labels_know_issuers_and_leave_unknown_values_open(spark):
+    values = {"ghp_" + "a1B2" * 9: 1, "sk_live_" + "a1B2" * 6: 1, "AKIA" + "ABCDEFG2" * 2: 1, "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzz": None, "1234567890123456": 0, "north-wind-over-hill-3": 0}
+    docs = spark.createDataFrame([(k, "x", f"so {v} here") for k, v in enumerate(values)], "doc_id bigint, path string, text string")
+    got = {r.value: r.label for r in se.candidates(docs).select("value", se.issued_format().alias("label")).collect()}
+    assert got == values
+
+
 def test_secret_scan_without_findings(spark):
     schema = "doc_id bigint, path string, text string"
     assert se.scan(spark.createDataFrame([], schema)).count() == 0
