@@ -12,6 +12,7 @@ files, and files join their directory with a salt, so a directory with a third o
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,6 +45,14 @@ TEMPLATES = [
     ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
      "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-2.0-or-later", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+     "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1-or-later", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+     "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0-or-later", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+     "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+     "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("LGPL-3.0-only", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0-only", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
@@ -58,6 +67,24 @@ TEMPLATES = [
 ]
 
 
+#: A line that names its license by SPDX identifier, up to an operator of an expression.
+SPDX = re.compile(rb"SPDX-License-Identifier:\s*\(?\s*([A-Za-z0-9.+-]+)", re.I)
+#: Older identifiers of the same licenses.
+SPDX_OLD = {f"{k}-{v}{sign}": f"{k}-{v}-{word}" for k, v in (("GPL", "2.0"), ("GPL", "3.0"), ("LGPL", "2.1"), ("LGPL", "3.0"), ("AGPL", "3.0")) for sign, word in (("", "only"), ("+", "or-later"))}
+#: Terms that tell licenses of one family apart, beside the version.
+TELLING = frozenset(b"lesser affero nc sa nd noncommercial sharealike later".split())
+
+
+def telling(terms: list[bytes]) -> frozenset[bytes]:
+    """The distinguishing terms, and the numbers behind the word version; a text and its template must agree in them."""
+    found = TELLING.intersection(terms)
+    for k, t in enumerate(terms):
+        if t in (b"version", b"v") and terms[k + 1 : k + 2] and terms[k + 1].isdigit():
+            minor = terms[k + 2 : k + 3] == [b"1"]
+            found |= {terms[k + 1] + b".1" * minor}
+    return found
+
+
 @dataclass
 class Templates:
     """Unit vectors of the templates, and the weight of each term; `other` is that of terms no template has."""
@@ -66,6 +93,7 @@ class Templates:
     vectors: list[dict[bytes, float]]
     weight: dict[bytes, float]
     other: float
+    telling: list[frozenset[bytes]]
 
     @classmethod
     def of(cls, templates: list[tuple[str, str]], lines: int, seen: dict[bytes, int]) -> Templates:
@@ -76,10 +104,11 @@ class Templates:
             v = {t: n * weight[t] for t, n in c.items()}
             size = math.sqrt(sum(x * x for x in v.values()))
             vectors.append({t: x / size for t, x in v.items()})
-        return cls([n for n, _ in templates], vectors, weight, math.log((1 + lines) / min(2, 1 + lines)) + 1)
+        return cls([n for n, _ in templates], vectors, weight, math.log((1 + lines) / min(2, 1 + lines)) + 1,
+                   [telling(words(text.encode())) for _, text in templates])
 
-    def best(self, terms: list[bytes], threshold: float) -> tuple[float, str] | None:
-        """The best (cosine, name) of a line or paragraph, if it reaches the threshold."""
+    def best(self, terms: list[bytes], threshold: float, agree: bool = False) -> tuple[float, str] | None:
+        """The best (cosine, name) of a line or paragraph, if it reaches the threshold; `agree`: of templates with its distinguishing terms."""
         known = Counter(t for t in terms if t in self.weight)
         if not known:
             return None
@@ -91,6 +120,9 @@ class Templates:
         rest = sum(n * n for n in Counter(t for t in terms if t not in self.weight).values()) * self.other**2
         size = math.sqrt(own + rest)
         scored = [(sum(x * v.get(t, 0.0) for t, x in here.items()) / size, name) for v, name in zip(self.vectors, self.names)]
+        if agree:
+            own_telling = telling(terms)
+            scored = [x for x, t in zip(scored, self.telling) if t == own_telling] or [(0.0, "")]
         score, name = min(scored, key=lambda s: (-round(s[0], 12), s[1]))
         return (min(score, 1.0), name) if score >= threshold else None
 
@@ -104,13 +136,19 @@ def scan(text: bytes, templates: Templates, threshold: float = THRESHOLD) -> tup
     for k, line in enumerate([*lines, b""]):
         terms = words(line)
         if terms:
-            if hit := templates.best(terms, threshold):
+            named = SPDX.search(line)
+            if named:
+                name = named[1].decode()
+                hit = 1.0, SPDX_OLD.get(name, name)
+            else:
+                hit = templates.best(terms, threshold, True)
+            if hit:
                 found.append((-round(hit[0], 12), k, hit[1]))
             if not paragraph:
                 began = k
             paragraph += terms
         if not line.strip():
-            if paragraph and k - began > 1 and (hit := templates.best(paragraph, threshold)):
+            if paragraph and k - began > 1 and (hit := templates.best(paragraph, threshold, True)):
                 found.append((-round(hit[0], 12), began, hit[1]))
             paragraph = []
     if not found:

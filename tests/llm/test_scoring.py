@@ -160,6 +160,19 @@ def test_licenses_are_found_and_inherited(spark):
     assert li.licenses(df.limit(0)).count() == 0
 
 
+def test_near_misses_are_not_another_license():
+    templates = li.Templates.of(li.TEMPLATES, 1000, {})
+    name = lambda text: (li.scan(text.encode(), templates) or (0, None))[1]
+    for given in ("MPL-2.0", "GPL-2.0-only", "ISC", "BSD-2-Clause"):
+        assert name(f"// SPDX-License-Identifier: {given}") == given
+    notice = ("This {} is free software; you can redistribute it and/or modify\nit under the terms of the GNU {}General Public License as published by\n"
+              "the Free Software Foundation; either version {} of the License, or\n(at your option) any later version.")
+    assert name(notice.format("program", "", "2")) == "GPL-2.0-or-later"
+    assert name(notice.format("program", "", "3")) == "GPL-3.0-or-later"
+    assert name(notice.format("library", "Lesser ", "2.1")) == "LGPL-2.1-or-later"
+    assert name(notice.format("program", "Affero ", "3")) == "AGPL-3.0-or-later"
+
+
 def cosine(line, templates):
     terms = li.words(line)
     weight = lambda t: templates.weight.get(t, templates.other)
