@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillbank.llm import chat, decontaminate, exact_dedup, html_content, licenses, mixing, secrets, simhash, substring_dedup, toxicity
+from quillbank.llm import (
+    chat, decontaminate, exact_dedup, html_content, lexical_search, licenses, mixing, secrets, simhash, spelling, substring_dedup, toxicity, url_filter,
+)
 from quillbank.llm.frames import table, unpacked
 
 
@@ -80,9 +82,29 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(given.union(added)))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
+
+
+#: (verdict, host, path)
+URL_RULES = [
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"),
+]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    found = url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES, model, ["page_id"])
+    return found.select(F.col("row.page_id").alias("page_id"), "found.host", "found.path", "found.rule", "found.verdict", "found.score")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_exact_dedup, op3_toxicity, op4_decontamination, op5_substring_dedup, op6_secret_scan, op7_simhash, op8_mixing,
-    op9_html_extraction, op10_chat_formatting,
+    op9_html_extraction, op10_chat_formatting, op11_spelling_variants, op12_url_filter, op13_lexical_search,
 )}
 
 #: A-Z lower-cased only, as the contracts have it.
@@ -91,6 +113,12 @@ _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefg
 #: Words of the contracts; RE2 reads bytes above 7F as parts of code points.
 _ALNUM = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+#: Terms of a ranked search, with A-Z lower-cased behind the match.
+_TERMS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+#: CRC-32 of a text, bit by bit over its bytes.
+_CRC = """list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(('0x' || hex(encode({0}))[2 * i - 1:2 * i]) AS BIGINT)
+    FOR i IN range(1, octet_length(encode({0})) + 1)]), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+    lambda x, k: xor(x >> 1, (x & 1) * 3988292384)))"""
 #: Backslashes behind the first character of what reads as a control string; a bracket of the template.
 _ESCAPED = r"regexp_replace(coalesce({0}, ''), '([\[<])(\\*)(/?(?:ROLE\]|INST\]|s>))', '\1\\\2\3', 'g')"
 
@@ -156,4 +184,32 @@ ORACLES = {
                         + length('[ROLE][/ROLE]') + CASE WHEN role = 'assistant' THEN length('<s></s>') ELSE length('[INST][/INST]') END)
                     AS BIGINT) AS formatted_chars
         FROM t GROUP BY conv_id""",
+    "op11_spelling_variants": rf"""
+        WITH RECURSIVE r AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents),
+        o AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+              FROM r WHERE length(run) >= 7 GROUP BY 1, 2),
+        h AS (SELECT run, n, xor({_CRC.format("CAST(doc_id AS VARCHAR) || ':' || run")}, 4294967295) AS h FROM o),
+        d AS (SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+        w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM d WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        x AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+        e AS (SELECT a.word, b.word AS near, b.n AS near_n FROM x a JOIN x b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+              UNION SELECT x.word, w.word, w.n FROM x JOIN w ON x.rest = w.word
+              UNION SELECT w.word, x.word, x.n FROM x JOIN w ON x.rest = w.word),
+        b AS (SELECT word, count(*) AS n_near, max(near_n) AS most FROM e GROUP BY word),
+        f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * n THEN most END AS form_n,
+                     CASE WHEN most >= 10 * n THEN (SELECT min(near) FROM e WHERE e.word = w.word AND e.near_n = b.most) END AS form
+              FROM w LEFT JOIN b USING (word)),
+        c AS (SELECT word, word AS root, 0 AS k FROM f UNION ALL SELECT c.word, f.form, k + 1 FROM c JOIN f ON f.word = c.root WHERE f.form IS NOT NULL)
+        SELECT word, form, (SELECT arg_max(root, k) FROM c WHERE c.word = f.word) AS root, n, n_near, form_n FROM f""",
+    "op13_lexical_search": f"""
+        WITH t AS (SELECT row_number() OVER () AS d, doc_id, {_TERMS.format(_LOWERED)} AS w FROM documents),
+        s AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_words FROM t WHERE len(w) > 0),
+        p AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(w) AS term FROM t) GROUP BY ALL),
+        df AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM p, s GROUP BY term, n_docs),
+        q AS (SELECT item_id, term, count(*) AS repeats FROM (SELECT item_id, unnest({_TERMS.format(_LOWERED)}) AS term FROM benchmark) GROUP BY ALL),
+        m AS (SELECT d, doc_id, 25 + (75 * len(w) * n_docs) // n_words AS m FROM t, s WHERE len(w) > 0),
+        r AS (SELECT item_id, doc_id, d, CAST(sum(repeats * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+              FROM q JOIN p USING (term) JOIN df USING (term) JOIN m USING (d) GROUP BY ALL),
+        k AS (SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM r WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10""",
 }
