@@ -1,14 +1,15 @@
 """Toxicity with a factorization machine over hashed terms.
 
-A text's terms are its distinct words and their beginnings, hashed to `BUCKETS` buckets. Counted over all labelled rows that aren't
-held out, the `FEATURES` / 2 buckets that part the classes best and the `FEATURES` / 2 that most rows have become features; the
-latter may be even alone and tell together. The machine sums their weights and, for every pair of features
-that meet in a text, the product of their factors: score = sigmoid(b + sum w_i + sum_{i<j} <v_i, v_j>), so an
-insult and a group mention can weigh more together than apart.
-
-The counts of all rows also give each weight the value it starts from and is drawn to, so a term too rare for the sample is learnt.
-Training takes at most `SAMPLE` labelled rows of each class, in the order of a hash of their ids, weighted back to the
-true class sizes, in one task. Scoring is a narrow pass over all whole texts.
+A text's terms are its distinct words and their beginnings, hashed to `BUCKETS` buckets. Every bucket that `LEAST_ROWS` counted
+rows have gets a weight from its log odds. The `FEATURES` / 2 buckets that part the classes best and the `FEATURES` / 2 that most
+rows have become features as well; the latter may be even alone and tell together. The machine learns the features' weights and,
+for every pair of features that meet in a text, the product of their factors: score = sigmoid(b + sum w_i + sum_{i<j} <v_i, v_j>),
+so an insult and a group mention can weigh more together than apart.
+
+What is learnt comes from bounded samples of the labelled rows, in the order of a hash of their ids: terms are counted in at most
+`COUNTED` rows of each class, whose ids are broadcast, so no text is shuffled; the machine is fitted in one task on the first
+`SAMPLE` of each class, weighted back to the true class sizes. Weights start from the counts and are drawn to them, so a term
+too rare for the fitted rows is learnt. Scoring is a narrow pass over all whole texts.
 """
 
 from __future__ import annotations
@@ -27,11 +28,15 @@ BUCKETS = 1 << 20
 FEATURES = 8192
 FACTORS = 8
 SAMPLE = 4096
+#: Labelled rows of each class that terms are counted in, at most; their ids take up to 2 MB.
+COUNTED = 1 << 16
 PREFIXES = (4, 5, 6)
 EPOCHS = 12
 BATCH = 256
+#: Steps of training at least: of few rows there are more rounds.
+STEPS = 200
 THRESHOLD = 0.3
-#: Labelled rows that a bucket needs to become a feature.
+#: Counted rows that a bucket needs to get a weight.
 LEAST_ROWS = 5
 #: Words whose features a task remembers before it starts anew.
 REMEMBERED = 1 << 19
@@ -58,58 +63,72 @@ class Buckets(dict):
 
 
 def text_buckets(text: bytes, known: Buckets) -> np.ndarray:
-    return np.array(sorted({b for w in set(words(text)) for b in known[w]}), np.uint32)
+    found: set[int] = set()
+    for w in set(words(text)):
+        found.update(known[w])
+    return np.sort(np.fromiter(found, np.uint32, len(found)))
 
 
 @dataclass
 class Machine:
-    """Feature of each bucket (-1: none), bias, weights and factors."""
+    """Feature of each bucket (-1: none), bias, the features' weights and factors, and the weights of all other buckets."""
 
     feature: np.ndarray
     bias: float
     weight: np.ndarray
     factor: np.ndarray
+    other: np.ndarray
 
-    def score(self, features: np.ndarray) -> float:
+    def score(self, features: np.ndarray, others: float = 0.0) -> float:
+        """Of the features of a text and the sum of its other buckets' weights."""
         v = self.factor[features]
-        z = self.bias + float(self.weight[features].sum()) + 0.5 * float((v.sum(axis=0) ** 2 - (v**2).sum(axis=0)).sum())
+        z = self.bias + others + float(self.weight[features].sum()) + 0.5 * float((v.sum(axis=0) ** 2 - (v**2).sum(axis=0)).sum())
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
+    def score_buckets(self, buckets: np.ndarray) -> float:
+        features = self.feature[buckets]
+        return self.score(features[features >= 0], float(self.other[buckets].sum()))
+
 
 @dataclass
 class Terms:
-    """Buckets that become features, in order, and the weights to start from."""
+    """Buckets that become features, in order, with the weights to start from, and the weights of all other buckets."""
 
     bucket: np.ndarray
     prior: np.ndarray
+    other: np.ndarray
 
     @classmethod
-    def of(cls, bucket: np.ndarray, a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, features: int) -> Terms:
+    def of(cls, a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, features: int) -> Terms:
         """From the toxic (a) and other (b) rows that each bucket is in. A word has up to four buckets, so each starts from a
         quarter of its log odds, less of it the fewer standard deviations these are from zero."""
-        odds, z = np.log((a + 0.5) / (n_a - a + 0.5)) - np.log((b + 0.5) / (n_b - b + 0.5)), deviations(a, b, n_a, n_b)
+        odds = np.log((a + 0.5) / (n_a - a + 0.5)) - np.log((b + 0.5) / (n_b - b + 0.5))
+        z = np.abs(odds) / np.sqrt(1 / (a + 0.5) + 1 / (n_a - a + 0.5) + 1 / (b + 0.5) + 1 / (n_b - b + 0.5))
+        weight = np.where(a + b >= LEAST_ROWS, odds * z**2 / (z**2 + 4) / (1 + len(PREFIXES)), 0)
         usable = np.flatnonzero(a + b >= LEAST_ROWS)
-        telling = usable[np.lexsort((bucket[usable], -z[usable]))][: features // 2]
-        common = usable[np.lexsort((bucket[usable], -(a + b)[usable]))][: features // 2]
+        telling = usable[np.argsort(-z[usable], kind="stable")][: features // 2]
+        common = usable[np.argsort(-(a + b)[usable], kind="stable")][: features // 2]
         at = np.union1d(telling, common).astype(np.int64)
-        at = at[np.argsort(bucket[at])]
-        return cls(bucket[at], (odds * z**2 / (z**2 + 4) / (1 + len(PREFIXES)))[at])
-
-
-def deviations(a, b, n_a, n_b):
-    """How many standard deviations the log odds of a bucket are from zero; arrays."""
-    odds = np.log((a + 0.5) / (n_a - a + 0.5)) - np.log((b + 0.5) / (n_b - b + 0.5))
-    return np.abs(odds) / np.sqrt(1 / (a + 0.5) + 1 / (n_a - a + 0.5) + 1 / (b + 0.5) + 1 / (n_b - b + 0.5))
+        other = weight.astype(np.float32)
+        other[at] = 0
+        return cls(at, weight[at], other)
 
 
 def terms_of_rows(rows: list[np.ndarray], label: np.ndarray, features: int) -> Terms:
     a, b = (np.bincount(np.concatenate([r for r, y in zip(rows, label) if y == side] or [np.zeros(0, np.int64)]).astype(np.int64), minlength=BUCKETS) for side in (1, 0))
-    return Terms.of(np.arange(BUCKETS), a, b, int((label == 1).sum()), int((label == 0).sum()), features)
+    return Terms.of(a, b, int((label == 1).sum()), int((label == 0).sum()), features)
+
 
+def sampled(usable: DataFrame, size: int) -> DataFrame:
+    """At most `size` rows of each label of `usable` (doc_id, label), in the order of a hash of their ids."""
+    sides = [usable.where(F.col("label") == side).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size) for side in (0, 1)]
+    return sides[0].unionAll(sides[1])
 
-def count_terms(documents: DataFrame, usable: DataFrame, features: int) -> Terms:
-    """The terms of all rows of `usable` (doc_id, label); candidates are picked by Spark, at most `features` come to the driver."""
-    texts = documents.select("doc_id", "text").join(usable, "doc_id").select("text", "label")
+
+def count_terms(documents: DataFrame, counted: DataFrame, features: int) -> Terms:
+    """The terms of the rows of `counted` (doc_id, label), which is broadcast: `COUNTED` rows a class bound it. One row a bucket comes
+    to the driver, at most `BUCKETS`."""
+    texts = documents.select("doc_id", "text").join(F.broadcast(counted), "doc_id").select("text", "label")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Buckets()
@@ -121,52 +140,48 @@ def count_terms(documents: DataFrame, usable: DataFrame, features: int) -> Terms
         at = np.flatnonzero(counts.any(axis=0))
         for k in range(0, len(at), 10_000):
             some = at[k : k + 10_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[1, some]), pa.array(counts[0, some])], names=["bucket", "a", "b"])
-
-    counted = cut(texts.mapInArrow(work, "bucket bigint, a bigint, b bigint").groupBy("bucket").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
-    total = counted.where(F.col("bucket") == BUCKETS).first()
-    n_a, n_b = (total.a, total.b) if total else (0, 0)
-    a, b = F.col("a") + 0.5, F.col("b") + 0.5
-    other_a, other_b = n_a + 1 - a, n_b + 1 - b
-    z = F.abs(F.log(a / other_a) - F.log(b / other_b)) / F.sqrt(1 / a + 1 / other_a + 1 / b + 1 / other_b)
-    open_ = counted.where((F.col("bucket") < BUCKETS) & (F.col("a") + F.col("b") >= LEAST_ROWS))
-    telling = open_.orderBy(z.desc(), "bucket").limit(features // 2)
-    common = open_.orderBy((F.col("a") + F.col("b")).desc(), "bucket").limit(features // 2)
-    rows = sorted({tuple(r) for half in (telling, common) for r in half.collect()})
-    bucket, a, b = np.array(rows, np.int64).reshape(-1, 3).T
-    return Terms.of(bucket, a, b, n_a, n_b, 2 * features)
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[1, some]), pa.array(counts[0, some])], names=["bucket", "a", "b"])
+
+    sums = texts.mapInArrow(work, "bucket int, a bigint, b bigint").groupBy("bucket").agg(F.sum("a").cast("int").alias("a"), F.sum("b").cast("int").alias("b"))
+    found = sums.toArrow()
+    counts = np.zeros((2, BUCKETS + 1), np.int64)
+    counts[:, found.column("bucket").to_numpy()] = found.column("a").to_numpy(), found.column("b").to_numpy()
+    return Terms.of(counts[0, :BUCKETS], counts[1, :BUCKETS], int(counts[0, BUCKETS]), int(counts[1, BUCKETS]), features)
 
 
 def fit(rows: list[np.ndarray], label: np.ndarray, weight: np.ndarray, features: int = FEATURES, factors: int = FACTORS, epochs: int = EPOCHS, terms: Terms | None = None) -> Machine:
-    """Weighted logistic loss, small squared penalties, Adam on batches in a fixed random order."""
+    """Weighted logistic loss, small squared penalties, Adam on batches in a fixed random order with steps that shrink to zero."""
     terms = terms_of_rows(rows, label, features) if terms is None else terms
     chosen, prior = terms.bucket, terms.prior
     feature = np.full(BUCKETS, -1, np.int16)
     feature[chosen] = np.arange(len(chosen))
     held = [f[f >= 0] for f in (feature[r] for r in rows)]
+    others = np.array([terms.other[r].sum() for r in rows])
     random = np.random.default_rng(7)
     share = float(np.clip((weight * label).sum() / weight.sum(), 1e-4, 1 - 1e-4))
     parts = [np.array([np.log(share / (1 - share))]), prior.copy(), random.normal(0, 0.05, (len(chosen), factors))]
     first, second = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
     scale = weight / weight.mean()
-    step = 0
-    for _ in range(epochs):
-        for at in np.array_split(random.permutation(len(rows)), max(1, len(rows) // BATCH)):
+    step, batches = 0, max(1, len(rows) // BATCH)
+    rounds = max(epochs, -(-STEPS // batches))
+    for _ in range(rounds):
+        for at in np.array_split(random.permutation(len(rows)), batches):
             b, w, v = parts
             xb = np.zeros((len(at), len(chosen)))
             for k, row in enumerate(at):
                 xb[k, held[row]] = 1
             xv = xb @ v
-            z = b[0] + xb @ w + 0.5 * ((xv**2).sum(axis=1) - xb @ (v**2).sum(axis=1))
+            z = b[0] + others[at] + xb @ w + 0.5 * ((xv**2).sum(axis=1) - xb @ (v**2).sum(axis=1))
             g = scale[at] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - label[at]) / len(at)
             xg = xb.T @ g
             slopes = [np.array([g.sum()]), xg + 1e-4 * (w - prior), xb.T @ (g[:, None] * xv) - v * xg[:, None] + 1e-4 * v]
+            rate = 0.02 * (1 - step / (rounds * batches))
             step += 1
             for p, m, s, d in zip(parts, first, second, slopes):
                 m += 0.1 * (d - m)
                 s += 0.01 * (d**2 - s)
-                p -= 0.02 * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)
-    return Machine(feature, float(parts[0][0]), parts[1], parts[2])
+                p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)
+    return Machine(feature, float(parts[0][0]), parts[1], parts[2], terms.other)
 
 
 def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine | None:
@@ -177,14 +192,14 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mach
     spark = documents.sparkSession
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     usable = usable.select("doc_id", F.col("toxic").cast("int").alias("label"))
-    chosen, sizes = [], {r.label: r["count"] for r in usable.groupBy("label").count().collect()}
-    for side in sorted(sizes):
-        rows = usable.where(F.col("label") == side).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
-        chosen += [(r.doc_id, side, sizes[side] / len(rows)) for r in rows]
-    if not chosen:
+    sizes = {r.label: r["count"] for r in usable.groupBy("label").count().collect()}
+    if not sizes:
         return None
-    terms = count_terms(documents, usable, FEATURES)
-    picked = spark.createDataFrame(chosen, "doc_id bigint, label int, weight double")
+    terms = count_terms(documents, sampled(usable, COUNTED), FEATURES)
+    times = F.lit(1.0)
+    for side, size in sizes.items():
+        times = F.when(F.col("label") == side, size / min(size, sample)).otherwise(times)
+    picked = sampled(usable, sample).withColumn("weight", times)
     texts = documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
     def work(batches: Iterator[dict[str, pa.Array]]) -> Iterator[pa.Array]:
@@ -212,7 +227,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mach
     feature = np.full(BUCKETS, -1, np.int16)
     feature[chosen_buckets] = np.arange(len(chosen_buckets))
     weight = np.frombuffer(bytes(model.weight))
-    return Machine(feature, model.bias, weight, np.frombuffer(bytes(model.factor)).reshape(len(weight), FACTORS))
+    return Machine(feature, model.bias, weight, np.frombuffer(bytes(model.factor)).reshape(len(weight), FACTORS), terms.other)
 
 
 def with_score(documents: DataFrame, machine: Machine | None, keep: list[str] | None = None) -> DataFrame:
@@ -224,22 +239,9 @@ def with_score(documents: DataFrame, machine: Machine | None, keep: list[str] |
 
     def work(batches: Iterator[dict[str, pa.Array]]) -> Iterator[pa.Array]:
         m = shared.get()
-        known: dict[bytes, tuple] = {}
+        known = Buckets()
         for batch in batches:
-            scores = []
-            for text in slices(batch["text"]):
-                if m is None:
-                    scores.append(0.0)
-                    continue
-                if len(known) > REMEMBERED:
-                    known.clear()
-                here: set[int] = set()
-                for w in set(words(text)):
-                    if (f := known.get(w)) is None:
-                        known[w] = f = tuple(x for h in word_buckets(w) if (x := int(m.feature[h % BUCKETS])) >= 0)
-                    if f:
-                        here.update(f)
-                scores.append(m.score(np.array(sorted(here), np.int64)))
+            scores = [m.score_buckets(text_buckets(text, known)) if m else 0.0 for text in slices(batch["text"])]
             yield pa.StructArray.from_arrays([pa.array(scores, pa.float64())], ["score"])
 
     return attach(documents, ["text"], work, "score double", keep)

@@ -28,7 +28,7 @@ def test_machine_learns_what_only_pairs_tell():
     x = [tx.text_buckets(t.encode(), known) for _, t, _ in rows]
     y = np.array([r[2] for r in rows], float)
     m = tx.fit(x[:2000], y[:2000], np.ones(2000), features=64, epochs=30)
-    score = np.array([m.score(m.feature[r][m.feature[r] >= 0]) for r in x[2000:]])
+    score = np.array([m.score_buckets(r) for r in x[2000:]])
     assert ((score > 0.5) == y[2000:]).mean() > 0.97
 
 
@@ -42,7 +42,7 @@ def test_pairs_whose_terms_are_even_alone():
     x = [tx.text_buckets(t.encode(), known) for t, _ in rows]
     y = np.array([r[1] for r in rows], float)
     m = tx.fit(x[:3000], y[:3000], np.ones(3000), epochs=30)
-    score = np.array([m.score(m.feature[r][m.feature[r] >= 0]) for r in x[3000:]])
+    score = np.array([m.score_buckets(r) for r in x[3000:]])
     assert ((score > 0.5) == y[3000:]).mean() > 0.95
 
 
