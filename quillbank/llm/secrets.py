@@ -24,16 +24,18 @@ TREES = 20
 DEPTH = 6
 SEED = 7
 THRESHOLD = 0.5
-#: Distinct words of candidates up to which they are broadcast (at most some 20 bytes each); beyond, they are joined by shuffle.
-BROADCAST_WORDS = 100_000
 
+# No pattern repeats a group without a bound, which Java matches by recursion, and none starts anew inside a run that it has
+# already read to the end: time is linear and the stack flat, however long a value, a word or a line is.
 RUN = r"[A-Za-z0-9+/_-]{16,}"
-CANDIDATE = r"(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}"
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}"
 # Words that name secrets, and parts of paths where findings are seldom real.
 KEY_WORDS = r"(?i)(^|[^a-z])(passw(or)?d|pwd|passphrase|secret|token|api_?key|access_?key|private_?key|auth|bearer|credentials?|key)([^a-z]|$)"
 _KEY = r"(?:passw(?:or)?d|pwd|passphrase|secret|token|api_?key|access_?key|private_?key|auth|authorization|bearer|credentials?|key)"
-ASSIGNED = rf"(?i)(?:^|[^a-z]){_KEY}[a-z0-9_.-]*[\"'\]]*(?::=|=>|[=:])[\"'`]*([^\s\"'`]+)"
-NAMES_VALUE = rf"(?i)(?:^|[^a-z]){_KEY}[a-z0-9_.-]*[\"'\]]*\s*(?::=|=>|[=:])$"
+#: A whole name of letters, digits and . _ - with a word that names secrets in it, and quotes or a bracket behind it.
+_NAME = rf"(?<![a-z0-9_.-])(?=(?:[a-z0-9_.-]*?[0-9_.-])?{_KEY})[a-z0-9_.-]*+[\"'\]]*+"
+ASSIGNED = rf"(?i){_NAME}(?::=|=>|[=:])[\"'`]*+([^\s\"'`]+)"
+NAMES_VALUE = rf"(?i){_NAME}\s*+(?::=|=>|[=:])$"
 #: Formats of keys by which their issuers know them.
 ISSUED = "^(" + "|".join((
     "(AKIA|ASIA)[0-9A-Z]{16}", "gh[pousr]_[A-Za-z0-9]{36,}", "github_pat_[A-Za-z0-9_]{22,}", "glpat-[A-Za-z0-9_-]{20,}", "[sr]k_(live|test)_[A-Za-z0-9]{16,}",
@@ -41,11 +43,12 @@ ISSUED = "^(" + "|".join((
     "pypi-[A-Za-z0-9_-]{32,}", "SG[.][A-Za-z0-9_-]{16,}[.][A-Za-z0-9_-]{16,}", "sk-[A-Za-z0-9_-]{20,}", "hf_[A-Za-z0-9]{30,}",
     "dop_v1_[0-9a-f]{64}", "shp(at|ca|pa|ss)_[0-9a-fA-F]{32}", "eyJ[A-Za-z0-9_-]{8,}([.][A-Za-z0-9_-]+){0,2}",
 )) + ")$"
-#: Values that are no keys: numbers, words joined by signs, paths of words, ids of the UUID kind, references to where a value is.
+#: Values that are no keys: numbers, ids of the UUID kind, references to where a value is; `no_key` adds words joined by signs.
 NO_KEY = "^(" + "|".join((
-    "[0-9/_+-]+", "[/_+-]*[a-z]+[0-9]{0,4}([/_+-]+([a-z]+[0-9]{0,4}|[0-9]{1,8}))+[/_+-]*",
+    "[0-9/_+-]+",
     "[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", r"[$%][({]?[A-Za-z_][A-Za-z0-9_.]*[)}%]?", "[<{].*[>}]", r"(?i)(true|false|null|none|nil)[,;]?",
 )) + ")$"
+PIECE = "^([a-z]+[0-9]{0,4}|[0-9]{1,8})$"
 QUIET_PATHS = r"(?i)(^|[/_.-])(tests?|examples?|samples?|docs?|fixtures?|mocks?)([/_.-]|$)"
 
 FEATURES = [
@@ -57,7 +60,7 @@ FEATURES = [
 def candidates(documents: DataFrame) -> DataFrame:
     """One row for each candidate of `documents` (doc_id, path, text): where it stands, its value and its neighbours in the line."""
     lines = documents.select("doc_id", F.coalesce("path", F.lit("")).alias("path"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    named = F.col("line").rlike(rf"(?i){_KEY}[^\n]*[=:]")
+    named = F.col("line").rlike(rf"(?i){_KEY}") & F.col("line").rlike("[=:]")
     found = lines.where(F.col("line").rlike(CANDIDATE) | named)
     found = found.withColumn("words", F.regexp_extract_all("line", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
     at = lambda n: F.coalesce(F.get("words", F.col("word_no") + n), F.lit(""))
@@ -87,10 +90,10 @@ def _letters(text: Column) -> Column:
 def known_words(documents: DataFrame, found: DataFrame) -> DataFrame:
     """Which of the letter runs in candidates and their neighbours are words of the corpus: (run, seen), seen in so many documents."""
     runs = found.select(F.explode(F.array_union(_letters(F.col("value")), _letters(F.concat_ws(" ", "before", "after")))).alias("run"))
-    runs = cut(runs.distinct())
-    wanted = F.broadcast(runs) if runs.count() <= BROADCAST_WORDS else runs
     spoken = documents.select(F.explode(F.array_distinct(F.split(F.lower("text"), "[^a-z]+"))).alias("run"))
-    return spoken.join(wanted, "run", "left_semi").groupBy("run").agg(F.count("*").alias("seen")).where("seen > 1")
+    # Counted in each task first: what is shuffled are distinct words, so a frequent one is no hot key of the join.
+    counted = spoken.where(F.length("run") > 2).groupBy("run").agg(F.count("*").alias("seen")).where("seen > 1")
+    return counted.join(cut(runs.distinct()), "run", "left_semi")
 
 
 def describe(documents: DataFrame) -> DataFrame:
@@ -152,12 +155,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def no_key(value: Column) -> Column:
+    """A value that is no key by its form: one of `NO_KEY`, or words and small numbers joined by signs, a word first."""
+    pieces = F.split(F.regexp_replace(value, "^[/_+-]+|[/_+-]+$", ""), "[/_+-]+")
+    return value.rlike(NO_KEY) | (F.size(pieces) > 1) & F.get(pieces, F.lit(0)).rlike("^[a-z]+[0-9]{0,4}$") & F.forall(pieces, lambda p: p.rlike(PIECE))
+
+
 def issued_format() -> Column:
     """Labels for a corpus without reviewed findings: 1 for a value in the format of an issuer of keys, and for a hexadecimal value
     assigned to a word that names a secret; 0 for what is no key by its form; null, which training leaves out, for all others."""
     named = F.concat_ws(" ", "before", F.expr("substring_index(word, value, 1)")).rlike(r"(?i)(passw(or)?d|token|secret|api_?key)[\"']?\s*[=:]\s*[\"']?$")
     value = F.col("value")
-    return F.when(value.rlike(ISSUED) | named & value.rlike("^[0-9a-f]{16,}$"), 1).when(value.rlike(NO_KEY), 0)
+    return F.when(value.rlike(ISSUED) | named & value.rlike("^[0-9a-f]{16,}$"), 1).when(no_key(value), 0)
 
 
 def scan(documents: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE) -> DataFrame:

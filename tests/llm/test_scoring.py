@@ -189,3 +189,60 @@ def test_skipped_lines_could_not_have_matched():
         line = b" ".join(rng.choices(terms, k=rng.randint(1, 12)))
         best, want = templates.best(li.words(line), 0.4), cosine(line, templates)
         assert (round(best[0], 9) == want) if best else want < 0.4 + 1e-9
+
+
+def long_values():
+    n = 100_000
+    return [
+        "ab-" * n + "c1", "a1/" * n, "x_" * n + "9", "key_" * n + "1", "key" * n + "=v1", "token " * n + "= a1b2c3d4", "secret.key-" * n + ": a1b2c3d4", "a" * (10 * n),
+        "A1b2+/" * n, "-" * n + "1", "password=" + "ab-" * n + "c1", "password=" * n + "z9", "key = " * n, "f0" * n, "[" * n + "token" + "]" * n + "=a1b2", "token" + "\t" * n + "= a1b2c3d4",
+        "eyJ" + "a1b2c3d4." * n, "passphrase: " + "=" * n, "7" * n, '"' * n + "key" + '"' * n + ":" + '"' * n + "a1", "one two 3 " * n,
+    ]
+
+
+def test_long_values_of_many_shapes_end(spark):
+    """Repeated groups overflow the stack of a JVM, patterns that start anew at each character never end."""
+    docs = spark.createDataFrame([(k, "p", f"password = a1b2c3d4e5f6a7b8c9{k:04d}\n{v}") for k, v in enumerate(long_values())], "doc_id bigint, path string, text string")
+    got = se.scan(docs).select("doc_id", "value", "secret").collect()
+    assert {r.doc_id for r in got} == set(range(len(long_values())))
+    assert any(r.value == "ab-" * 100_000 + "c1" for r in got) and max(len(r.value) for r in got) > 600_000
+
+
+def test_values_that_are_no_keys_by_form(spark):
+    """The repeated group, matched in Python on short values."""
+    import re
+
+    joined = re.compile(r"[/_+-]*[a-z]+[0-9]{0,4}([/_+-]+([a-z]+[0-9]{0,4}|[0-9]{1,8}))+[/_+-]*")
+    rng = random.Random(8)
+    values = ["".join(rng.choice("ab1290_-/+A") for _ in range(rng.randint(1, 12))) for _ in range(3000)] + ["ab-cd", "-ab-1", "1-ab", "ab", "", "--"]
+    rows = spark.createDataFrame([(v,) for v in values], "value string").select("value", se.no_key(F.col("value")).alias("no"), F.col("value").rlike(se.NO_KEY).alias("listed")).collect()
+    assert all(r.no == bool(r.listed or joined.fullmatch(r.value)) for r in rows) and any(r.no and not r.listed for r in rows)
+
+
+def test_candidates_equal_brute_force(spark):
+    """Runs and assigned values, by patterns that may repeat and look back as they like in Python on short lines."""
+    import re
+
+    rng = random.Random(9)
+    parts = ["token", "my_secret", "key", "monkey", "api-key", "=", ":", " = ", "=>", " ", " ", '"', "'", "]", "a1b2c3d4e5f6a7b8c9", "north-wind-over-hill-1", "plain", "x1", ",", "(", "\n", "keyed", "-"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(1500)]
+    key = se._KEY
+    assigned = re.compile(rf"(?i)(?:^|[^a-z]){key}[a-z0-9_.-]*[\"'\]]*(?::=|=>|[=:])[\"'`]*([^\s\"'`]+)")
+    names = re.compile(rf"(?i)(?:^|[^a-z]){key}[a-z0-9_.-]*[\"'\]]*\s*(?::=|=>|[=:])$")
+    expect = set()
+    for i, text in enumerate(texts):
+        for line_no, line in enumerate(text.split("\n")):
+            words = re.findall(r"[^\x20\x09-\x0D]+", line)
+            for k, word in enumerate(words):
+                before = " ".join([*[""] * max(0, 3 - k), *words[max(0, k - 3) : k]])
+                inside = assigned.search(word)
+                whole = names.search(before) and not re.match("^[=:]+$", word) and re.match("[\"'`]*([^\"'`]+)", word)
+                given = re.sub(r"[,;)\]]+$", "", inside[1] if inside else whole[1] if whole else "")
+                runs = re.findall("[A-Za-z0-9+/_-]{16,}", word)
+                digit = [(p, r) for p, r in enumerate(runs) if re.search("[0-9]", r)]
+                if given and given not in [r for _, r in digit]:
+                    digit = [(p, r) for p, r in digit if r not in given] + [(len(runs), given)]
+                expect |= {(i, line_no, k, p, v) for p, v in digit}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("path", F.lit("p"))
+    got = {(r.doc_id, r.line_no, r.word_no, r.part, r.value) for r in se.candidates(docs).collect()}
+    assert got == expect and len(got) > 500
