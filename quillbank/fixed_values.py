@@ -200,6 +200,7 @@ MESSAGES = {
     "X8": "Unexpected error: stem of a gapText part is neither a string nor an array",
     "X9": "Unexpected error: a choice 'group' is an array or an object",
     "X10": "Unexpected error: root 'answer' holds a character that cannot be written",
+    "X11": "Unexpected error: the file cannot be read",
     # conversion
     "K1": "Missing required field 'subject'",
     "K2": "Missing required field 'subject_id'",

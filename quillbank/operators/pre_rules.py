@@ -328,6 +328,7 @@ def part_stopper(p: str = "p") -> str:
 def stopper() -> str:
     """First reason a document cannot be checked at all, as a rule id, else NULL."""
     return case(
+        ("raw IS NULL", "'X11'"),
         ("doc IS NULL", "'X1'"),
         ("root IS NULL", "'X2'"),
         (f"{has_parts()} AND {BROKEN_METADATA}", "'X3'"),

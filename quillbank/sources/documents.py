@@ -27,13 +27,32 @@ def decoded(uri: Column) -> Column:
     return F.coalesce(F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), uri)
 
 
-def read_documents(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
+def _files(spark: SparkSession, recursive: bool):
+    return spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.json")
+
+
+def list_documents(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
+    """One row per ``*.json`` file under ``path``, unread: ``path, filename, n_bytes, modified``.
+
+    Only directory entries are looked at, when the listing is evaluated: write it before a scan that it is to be held against.
+    """
+    scan = _files(spark, recursive).option("ignoreMissingFiles", True)
+    return scan.format("binaryFile").load(path).select(
+        decoded(F.col("path")).alias("path"),
+        decoded(F.element_at(F.split("path", "/"), -1)).alias("filename"),
+        F.col("length").alias("n_bytes"), F.col("modificationTime").alias("modified"),
+    )
+
+
+def read_documents(spark: SparkSession, path: str, recursive: bool = True, tolerant: bool = False) -> DataFrame:
     """One row per ``*.json`` file under ``path``: ``path, filename, raw``.
 
     Path and name are written as on disk, so ``1 x.json`` is not ``1%20x.json``.
+    A file that cannot be read, or that is gone by then, ends the job. A ``tolerant`` scan leaves it out instead;
+    ``unreadable`` finds those among the listed files. A refusal by the file system's access control ends the job always.
     """
     configure(spark)
-    scan = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.json")
+    scan = _files(spark, recursive).option("ignoreCorruptFiles", tolerant).option("ignoreMissingFiles", tolerant)
     return scan.text(path, wholetext=True).select(
         decoded(F.col("_metadata.file_path")).alias("path"),
         decoded(F.col("_metadata.file_name")).alias("filename"),
@@ -41,6 +60,28 @@ def read_documents(spark: SparkSession, path: str, recursive: bool = True) -> Da
     )
 
 
+def same_path(path: Column) -> Column:
+    """A path without the slashes by which listings and scans write a local one differently."""
+    return F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*:)/+", "$1/")
+
+
+def unreadable(listed: DataFrame, read: DataFrame) -> DataFrame:
+    """Documents for the files of ``listed`` whose path no row of ``read`` has: their ``raw`` is NULL.
+
+    Only paths are joined. ``read`` may be a table written from a tolerant scan, so that no file is opened twice.
+    """
+    there = read.select(same_path(F.col("path")).alias("same")).distinct()
+    missing = listed.withColumn("same", same_path(F.col("path"))).join(there, "same", "left_anti")
+    return missing.select("path", "filename", F.lit(None).cast("string").alias("raw"))
+
+
+def scan_documents(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
+    """Every file under ``path``, those that cannot be read with a NULL ``raw``. It opens the files twice."""
+    listed = list_documents(spark, path, recursive)
+    read = read_documents(spark, path, recursive, tolerant=True)
+    return read.unionByName(unreadable(listed, read))
+
+
 def parsed(raw: str) -> str:
     """JSON text as VARIANT, NULL if malformed, as a SQL expression.
 
