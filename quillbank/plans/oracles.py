@@ -5,7 +5,7 @@ expected result straight from table columns.
 """
 
 from quillbank import fixed_values as fv
-from quillbank.plans import banks
+from quillbank.plans import banks, file_queries
 from quillbank.plans.queries import FLOATS
 
 VALS = (
@@ -298,4 +298,4 @@ SELECT id, string_agg('<p>' || {ESC} || '</p>', chr(10) ORDER BY i) AS html FROM
 WITH l AS ({LINES}), u AS (SELECT id, unnest(lines) AS x, unnest(range(len(lines))) AS i FROM l),
 h AS (SELECT id, string_agg('<p>' || {ESC} || '</p>', chr(10) ORDER BY i) AS html FROM u GROUP BY id)
 SELECT id, id || '.json' AS rel_path, html AS stem, html AS second, id AS n FROM h""",
-}
+} | file_queries.ORACLES

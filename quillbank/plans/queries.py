@@ -13,7 +13,7 @@ from quillbank.operators import convert as cv
 from quillbank.operators import enrich as en
 from quillbank.operators import pre_rules as pre
 from quillbank.operators.clean import clean
-from quillbank.plans import banks, migrate, reports
+from quillbank.plans import banks, file_queries, migrate, reports
 from quillbank.sources.documents import filter_types, with_fields
 
 
@@ -401,4 +401,4 @@ QUERIES = {f.__name__: f for f in (
     filter_by_type, answer_checks, country_resolution, country_choice_limit, language_resolution,
     id_consistency, common_metadata, value_tests, normalized_text, enrich_first_match,
     category_routing, strip_p_attrs, clean_documents, clean_pages,
-)}
+)} | file_queries.QUERIES
