@@ -7,7 +7,6 @@ other token lists with single spaces, void tags as ``<img/>``, text with only
 ``& < >`` escaped.
 """
 
-import json
 import re
 import sys
 from collections import Counter
@@ -216,44 +215,6 @@ def without_p_attributes(fragment):
         return fragment
 
 
-# A string of a JSON text; with a colon behind it, a key.
-JSON_STRING = re.compile(r'("(?:[^"\\]|\\.)*")(\s*:)?', re.S)
-
-
-def _clean_string(found):
-    literal, colon = found.groups()
-    if colon:
-        return found[0]
-    text = json.loads(literal, strict=False)
-    cleaned = without_p_attributes(text)
-    return literal if cleaned is text else json.dumps(cleaned, ensure_ascii=False)
-
-
-def is_json(raw):
-    """Whether the text is valid; one nested deeper than the parser goes is left to its reader."""
-    try:
-        json.loads(raw)
-    except RecursionError:
-        pass
-    except ValueError:
-        return False
-    return True
-
-
-def clean_document_text(raw):
-    """A JSON text with every string value cleaned, all else as it was; NULL if it or the result is no text."""
-    return _clean_json(raw) if is_json(raw) else None
-
-
-def _clean_json(raw):
-    try:
-        cleaned = JSON_STRING.sub(_clean_string, raw)
-        cleaned.encode()
-        return cleaned
-    except Exception:
-        return None
-
-
 def stripped(fragment):
     """``without_p_attributes``, or the fragment where the result holds a lone surrogate."""
     cleaned = without_p_attributes(fragment)
@@ -288,8 +249,17 @@ def _stripped(fragments: pd.Series) -> pd.Series:
     return fragments.map(stripped, na_action="ignore")
 
 
-def _cleaned(documents: pd.Series) -> pd.Series:
-    return documents.map(_clean_json, na_action="ignore")
+def _cleaned(fragment):
+    """The cleaned fragment, whether it differs, and whether a lone surrogate keeps it from being written."""
+    if fragment is None:
+        return None
+    cleaned = without_p_attributes(fragment)
+    written = _written(cleaned)
+    return {"text": written, "changed": cleaned != fragment, "broken": written != cleaned}
+
+
+def _cleaned_lists(lists: pd.Series) -> pd.Series:
+    return lists.map(lambda fragments: [_cleaned(f) for f in fragments], na_action="ignore")
 
 
 # The helpers travel to the executors with the function, so no package has to be there.
@@ -312,11 +282,6 @@ def strip_p_attributes(text: Column) -> Column:
     return F.coalesce(F.pandas_udf(_stripped, "string")(F.when(needed, text)), text)
 
 
-def clean_document(raw: Column, readable: Column) -> Column:
-    """A cleaned JSON document; unreadable ones come out NULL, untouched ones as they are.
-
-    Python gets only documents that were found readable, so it does not parse them again.
-    """
-    needed = raw.rlike(P_WITH_MORE_IN_JSON)
-    cleaned = F.pandas_udf(_cleaned, "string")(F.when(readable & needed, raw))
-    return F.when(readable, F.when(needed, cleaned).otherwise(raw))
+def clean_fragments(fragments: Column) -> Column:
+    """An array of fragments, some of them NULL, cleaned one by one; NULL arrays cost no parsing."""
+    return F.pandas_udf(_cleaned_lists, "array<struct<text:string,changed:boolean,broken:boolean>>")(fragments)

@@ -1,13 +1,24 @@
-"""Removal of ``<p>`` attributes from every string of a document."""
+"""Removal of ``<p>`` attributes from every string of a document.
+
+The string literals of a JSON text are cut out where it stands, so all between them stays as it was.  Of the
+values among them, those that may hold a ``<p`` with attributes are decoded and cleaned; a literal is replaced
+only if its text changed.  Python sees these fragments and nothing else of a document.
+"""
 
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillbank.functions.html import clean_document
+from quillbank.functions.html import P_WITH_MORE_IN_JSON, clean_fragments
+from quillbank.functions.sql import case, lit
+from quillbank.functions.variants import field
 from quillbank.sources.documents import configure, parsed
 
+# Possessive, so that a long literal is matched without recursion.
+LITERAL = r'(?s)"(?:[^"\\]++|\\.)*+"'
+# A literal whose escaped surrogates all come in pairs.
+PAIRED = (r'(?s)^"(?:[^"\\]++|\\[^u]|\\u(?![dD][89a-fA-F]).{4}|\\u[dD][89abAB].{2}\\u[dD][c-fC-F].{2})*+"$')
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 
@@ -32,12 +43,27 @@ def relative_path(path: Column, folders: list[str]) -> Column:
 def clean(documents: DataFrame, base_path: str = "") -> DataFrame:
     """Adds ``rel_path`` and ``cleaned_json``; the text is NULL for unreadable documents.
 
-    Only documents with a ``<p`` that may have attributes go to Python.
+    A document is also unreadable if a cleaned fragment holds a lone surrogate, which no text can.
     """
     spark = configure(documents.sparkSession)
-    readable = F.expr(f"({parsed('raw')}) IS NOT NULL")
     rel_path = relative_path(F.col("path"), base_folders(spark, base_path)) if base_path else F.col("path")
-    return documents.withColumns({
+    needed = f"raw RLIKE {lit(P_WITH_MORE_IN_JSON)}"
+    df = documents.withColumns({
         "rel_path": rel_path,
-        "cleaned_json": clean_document(F.col("raw"), readable),
+        "readable": F.expr(f"({parsed('raw')}) IS NOT NULL"),
+    }).withColumns({
+        "literals": F.expr(f"CASE WHEN readable AND {needed} THEN regexp_extract_all(raw, {lit(LITERAL)}, 0) END"),
+        "between": F.expr(f"CASE WHEN readable AND {needed} THEN split(raw, {lit(LITERAL)}, -1) END"),
     })
+    is_key = "get(between, n + 1) RLIKE '^\\\\s*:'"
+    text = field("try_parse_json(x)", "$", "string")
+    df = df.withColumn("fragments", F.expr(
+        f"transform(literals, (x, n) -> CASE WHEN x RLIKE {lit(P_WITH_MORE_IN_JSON)} AND NOT {is_key} THEN {text} END)"))
+    some = F.expr("CASE WHEN exists(fragments, x -> x IS NOT NULL) THEN fragments END")
+    df = df.withColumn("cleaned", clean_fragments(some))
+    lost = f"exists(sequence(0, size(literals) - 1), n -> get(cleaned, n).changed AND (get(cleaned, n).broken OR NOT get(literals, n) RLIKE {lit(PAIRED)}))"
+    new = "CASE WHEN get(cleaned, n).changed THEN to_json(CAST(get(cleaned, n).text AS variant)) END"
+    joined = f"array_join(transform(between, (b, n) -> concat(b, coalesce({new}, get(literals, n), ''))), '')"
+    return df.withColumn("cleaned_json", F.expr(case(
+        ("NOT readable", "NULL"), ("cleaned IS NULL", "raw"), (lost, "NULL"), otherwise=joined,
+    ))).select(*documents.columns, "rel_path", "cleaned_json")
