@@ -15,8 +15,8 @@ from quillbank.functions.sql import case, lit
 from quillbank.functions.variants import field
 from quillbank.sources.documents import configure, parsed
 
-# Possessive, so that a long literal is matched without recursion.
-LITERAL = r'(?s)"(?:[^"\\]++|\\.)*+"'
+# The string literals of a JSON text and what lies between them; possessive, so that a long one is matched without recursion.
+PIECES = r'(?s)"(?:[^"\\]++|\\.)*+"|[^"]++'
 # A literal whose escaped surrogates all come in pairs.
 PAIRED = (r'(?s)^"(?:[^"\\]++|\\[^u]|\\u(?![dD][89a-fA-F]).{4}|\\u[dD][89abAB].{2}\\u[dD][c-fC-F].{2})*+"$')
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
@@ -51,19 +51,18 @@ def clean(documents: DataFrame, base_path: str = "") -> DataFrame:
     df = documents.withColumns({
         "rel_path": rel_path,
         "readable": F.expr(f"({parsed('raw')}) IS NOT NULL"),
-    }).withColumns({
-        "literals": F.expr(f"CASE WHEN readable AND {needed} THEN regexp_extract_all(raw, {lit(LITERAL)}, 0) END"),
-        "between": F.expr(f"CASE WHEN readable AND {needed} THEN split(raw, {lit(LITERAL)}, -1) END"),
-    })
-    is_key = "get(between, n + 1) RLIKE '^\\\\s*:'"
+    }).withColumn("pieces", F.expr(f"CASE WHEN readable AND {needed} THEN regexp_extract_all(raw, {lit(PIECES)}, 0) END"))
+    is_key = "get(pieces, n + 1) RLIKE '^\\\\s*:'"
     text = field("try_parse_json(x)", "$", "string")
     df = df.withColumn("fragments", F.expr(
-        f"transform(literals, (x, n) -> CASE WHEN x RLIKE {lit(P_WITH_MORE_IN_JSON)} AND NOT {is_key} THEN {text} END)"))
+        f"transform(pieces, (x, n) -> CASE WHEN x RLIKE {lit(P_WITH_MORE_IN_JSON)} AND NOT coalesce({is_key}, false) THEN {text} END)"))
     some = F.expr("CASE WHEN exists(fragments, x -> x IS NOT NULL) THEN fragments END")
     df = df.withColumn("cleaned", clean_fragments(some))
-    lost = f"exists(sequence(0, size(literals) - 1), n -> get(cleaned, n).changed AND (get(cleaned, n).broken OR NOT get(literals, n) RLIKE {lit(PAIRED)}))"
-    new = "CASE WHEN get(cleaned, n).changed THEN to_json(CAST(get(cleaned, n).text AS variant)) END"
-    joined = f"array_join(transform(between, (b, n) -> concat(b, coalesce({new}, get(literals, n), ''))), '')"
+    piece = "get(pieces, n)"
+    at = "sequence(0, size(pieces) - 1)"
+    lost = f"exists({at}, n -> get(cleaned, n).changed AND (get(cleaned, n).broken OR NOT {piece} RLIKE {lit(PAIRED)}))"
+    new = f"CASE WHEN get(cleaned, n).changed THEN to_json(CAST(get(cleaned, n).text AS variant)) ELSE {piece} END"
+    joined = f"array_join(transform({at}, n -> {new}), '')"
     return df.withColumn("cleaned_json", F.expr(case(
         ("NOT readable", "NULL"), ("cleaned IS NULL", "raw"), (lost, "NULL"), otherwise=joined,
     ))).select(*documents.columns, "rel_path", "cleaned_json")
