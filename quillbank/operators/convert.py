@@ -16,6 +16,7 @@ from quillbank.functions.variants import (
     shown, shown_or, string_of, text_or_json,
 )
 from quillbank.operators.issues import finding
+from quillbank.operators.part_types import extra_types
 
 
 def sorted_by(items: str, key: str) -> str:
@@ -33,7 +34,8 @@ def label(language: str, latin, arabic, rank: str) -> str:
     return f"get(CASE WHEN {language} = 'ar' THEN {array(arabic)} ELSE {array(latin)} END, {rank})"
 
 
-def _head(p: str, new_type: str) -> dict:
+def head(p: str, new_type: str) -> dict:
+    """The first members of every converted part."""
     return {"n": f"{p}.n", "type": lit(new_type), "stem": string_of(f"{p}.stem")}
 
 
@@ -55,23 +57,23 @@ def _correct(shown_choices: str) -> str:
 
 def mcq(p, language, explanation):
     return let(_displayed(p, language), "shown", struct(
-        **_head(p, "mcq"), choices="shown", correct_answer=f"get({_correct('shown')}, 0)",
+        **head(p, "mcq"), choices="shown", correct_answer=f"get({_correct('shown')}, 0)",
         explanation=explanation))
 
 
 def mrq(p, language, explanation):
     return let(_displayed(p, language), "shown", struct(
-        **_head(p, "mrq"), choices="shown", correct_answer=_correct("shown"), explanation=explanation))
+        **head(p, "mrq"), choices="shown", correct_answer=_correct("shown"), explanation=explanation))
 
 
 def opinion(p, language, explanation):
-    return struct(**_head(p, "opinion"), choices=_displayed(p, language, False), explanation=explanation)
+    return struct(**head(p, "opinion"), choices=_displayed(p, language, False), explanation=explanation)
 
 
 def ordering(p, language, explanation):
     item = struct(value=string_of("c.html_content"), display_order="c.fixed_order", correct_order="c.correct_order")
     return struct(
-        **_head(p, "ordering"),
+        **head(p, "ordering"),
         direction=string_of(f"{p}.direction"),
         items=f"transform({sorted_by(f'{p}.cs', 'fixed_order')}, c -> {item})",
         correct_answer=f"transform({sorted_by(f'{p}.cs', 'correct_order')}, c -> {string_of('c.html_content')})",
@@ -104,7 +106,7 @@ def matching(p, language, explanation):
           f"'matches', concat('A', {rank})))",
         correct_answer=f"transform(g.a, x -> named_struct('A', x.value, 'B', {partner('g.b', 'x')}.value))",
     )
-    return let(_groups(p), "g", struct(**_head(p, "matching"), items=items, explanation=explanation))
+    return let(_groups(p), "g", struct(**head(p, "matching"), items=items, explanation=explanation))
 
 
 def gmrq(p, language, explanation):
@@ -119,7 +121,7 @@ def gmrq(p, language, explanation):
         B=listed("g.b", fv.LABELS_LATIN_SECOND, fv.LABELS_ARABIC_SECOND),
         correct_answer=struct(A=answer("g.a"), B=answer("g.b")),
     )
-    return let(_groups(p), "g", struct(**_head(p, "gmrq"), items=items, explanation=explanation))
+    return let(_groups(p), "g", struct(**head(p, "gmrq"), items=items, explanation=explanation))
 
 
 def grid_side(p: str, side: int) -> str:
@@ -128,7 +130,7 @@ def grid_side(p: str, side: int) -> str:
 
 def counting(p, language, explanation):
     return struct(
-        **_head(p, "counting"),
+        **head(p, "counting"),
         grid=struct(rows=json_number(grid_side(p, 0)), columns=json_number(grid_side(p, 1))),
         correct_answer=json_number(string_of(f"{p}.answer")),
         explanation=explanation,
@@ -141,7 +143,7 @@ def _template(p: str) -> str:
 
 def frq(p, language, explanation):
     return struct(
-        **_head(p, "frq"), ai_template_id=_template(p),
+        **head(p, "frq"), ai_template_id=_template(p),
         acceptable_answers=f"array({string_of(f'{p}.answer')})", explanation=explanation)
 
 
@@ -158,7 +160,7 @@ def guideline(g: str) -> str:
 
 def string(p, language, explanation):
     return struct(
-        **_head(p, "string"), ai_template_id=_template(p),
+        **head(p, "string"), ai_template_id=_template(p),
         acceptable_answers=field(f"{p}.answer", "$", "array<string>"),
         guidelines=f"transform({field(f'{p}.ai', '$.guidelines', 'array<variant>')}, g -> {guideline('g')})",
         explanation=explanation)
@@ -183,7 +185,7 @@ def gap(p, language, explanation):
     ordered = sorted_by(f"filter({p}.ks, k -> k.correct_order IS NOT NULL)", "correct_order")
     key = struct(value=string_of("k.value"), display_order="j + 1", correct_order="k.correct_order")
     return struct(
-        **_head(p, "gap"),
+        **head(p, "gap"),
         gap_keys=f"transform({p}.ks, (k, j) -> {key})",
         correct_answer=fill_gaps(string_of(f"{p}.stem"), f"transform({ordered}, k -> {string_of('k.value')})"),
         explanation=explanation,
@@ -205,7 +207,7 @@ def input_box(p, language, explanation):
         for name, default in fv.CONSTRAINT_DEFAULTS.items()
     }
     return struct(
-        **_head(p, "input"),
+        **head(p, "input"),
         correct_answer=struct(
             value=input_number(value),
             unit=f"coalesce({field(f'{p}.answer', '$.unit')}, {JSON_NULL})",
@@ -218,12 +220,12 @@ def input_box(p, language, explanation):
 def puzzle(p, language, explanation):
     piece = struct(display_order="x.fixed_order", correct_order="x.correct_order", src=string_of("x.src"))
     return struct(
-        **_head(p, "puzzle"), rows=f"{p}.puzzleRows", columns=f"{p}.puzzleColumns",
+        **head(p, "puzzle"), rows=f"{p}.puzzleRows", columns=f"{p}.puzzleColumns",
         pieces=f"transform({sorted_by(f'{p}.pieces', 'fixed_order')}, x -> {piece})",
         correct_answer=f"{p}.puzzleImage")
 
 
-# Extension point: legacy part type -> its conversion.
+# Built-in legacy part types and their conversions; further ones come from ``part_types``.
 CONVERSIONS = {
     "mcq": mcq, "gmrq": gmrq, "mrq": mrq, "frq": frq, "oq": ordering, "gapText": gap, "string": string,
     "opinion": opinion, "matching": matching, "counting": counting, "puzzle": puzzle,
@@ -266,7 +268,7 @@ def _members(source: str, names) -> str:
 
 def part_text(conversion, p: str, language: str, explanation: str) -> str:
     """One converted part as JSON text."""
-    names = WRITTEN[conversion]
+    names = WRITTEN[conversion] if conversion in WRITTEN else next(t.written for t in extra_types() if t.convert is conversion)
     if isinstance(names, dict):
         body = ", ".join(f"{lit(k)}, named_struct({_members(f'x.{k}', v)})" for k, v in names.items())
     else:
@@ -279,7 +281,7 @@ def part_text(conversion, p: str, language: str, explanation: str) -> str:
 def convert_part(p: str, language: str, explanation: str) -> str:
     """Dispatch on the legacy type; JSON text of the converted part."""
     types = {}
-    for legacy, conversion in CONVERSIONS.items():
+    for legacy, conversion in (CONVERSIONS | {t.legacy: t.convert for t in extra_types()}).items():
         types.setdefault(conversion, []).append(legacy)
     return case(*[
         (f"{p}.t IN ({', '.join(lit(t) for t in legacy)})", part_text(conversion, p, language, explanation))

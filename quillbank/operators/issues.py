@@ -7,8 +7,9 @@ they are exploded only in the report tables.
 
 from string import Formatter
 
-from quillbank.fixed_values import MESSAGES, REPORTED
+from quillbank.fixed_values import REPORTED
 from quillbank.functions.sql import case, lit, lookup
+from quillbank.operators.part_types import messages
 
 FINDING = "struct<rule_id:string,p:int,e:int,t:string,field:string,value:string,expected:string>"
 FINDINGS = f"array<{FINDING}>"
@@ -56,8 +57,9 @@ def when(condition: str, findings: str) -> str:
 
 def rendered(findings: str, stage: str) -> str:
     """Findings with their texts: the error structs of the reports."""
-    text = lookup(MESSAGES, "x.rule_id")
-    names = sorted({n for m in MESSAGES.values() for _, n, _, _ in Formatter().parse(m) if n})
+    known = messages()
+    text = lookup(known, "x.rule_id")
+    names = sorted({n for m in known.values() for _, n, _, _ in Formatter().parse(m) if n})
     for name in names:
         text = f"replace({text}, '{{{name}}}', coalesce(CAST(x.{name} AS string), 'None'))"
     failed = {k: v[0] for k, v in REPORTED.items()}

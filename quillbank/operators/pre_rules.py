@@ -15,9 +15,9 @@ from quillbank.functions.variants import (
     number_of, shown, string_of, type_name,
 )
 from quillbank.operators.issues import NONE, all_of, finding_of, issues, of_each, only, rule, when
+from quillbank.operators.part_types import NO, extra_types, known_types
 from quillbank.operators.skeleton import CHOICE_LIST_TYPES
 
-NO = "i + 1"
 LIST_RULE = {"mcq": "V17", "mrq": "V20", "oq": "V29", "opinion": "V53", "matching": "V55", "gmrq": "V58"}
 
 
@@ -219,7 +219,7 @@ def input_box_issues(p: str = "p") -> str:
     )
 
 
-# Extension point: legacy part types and their checks.
+# Built-in part types and their checks; further ones come from ``part_types``.
 PART_RULES = [
     (CHOICE_LIST_TYPES, choice_list_issues),
     (["frq", "frq_ai"], frq_issues),
@@ -233,7 +233,8 @@ PART_RULES = [
 
 def part_issues(p: str = "p") -> str:
     """Findings of one part: the common rules, then those of its type."""
-    known = one_of(f"{p}.t", fv.PART_TYPES)
+    known = one_of(f"{p}.t", known_types())
+    checks = [*[(types, check()) for types, check in PART_RULES], *[([t.legacy], t.checks(p)) for t in extra_types() if t.checks]]
     return all_of(
         issues(
             *[rule(f"{p}.{f} IS NULL", "V5", p=NO, field=f) for f in ("n", "type", "stem", "standalone")],
@@ -241,7 +242,7 @@ def part_issues(p: str = "p") -> str:
             rule(f"NOT {known}", "V7", p=NO, value=shown(f"{p}.type")),
             rule(f"{known} AND NOT {is_filled_string(f'{p}.stem')}", "V8", p=NO),
         ),
-        case(*[(f"{p}.t IN ({lits(types)})", check()) for types, check in PART_RULES], otherwise=NONE),
+        case(*[(f"{p}.t IN ({lits(types)})", check) for types, check in checks], otherwise=NONE),
     )
 
 

@@ -7,6 +7,7 @@ integer from a number; lists of objects become arrays of structs, once.
 from quillbank.functions.resolve import META_FIELDS, ROOT_FIELDS
 from quillbank.functions.sql import lits
 from quillbank.functions.variants import array_of, field, string_of, variant_struct
+from quillbank.operators.part_types import with_extra
 
 PART_FIELDS = [
     "n", "type", "stem", "standalone", "choices", "answer", "ai", "direction",
@@ -22,6 +23,11 @@ PIECE_FIELDS = ["index", "fixed_order", "correct_order", "src"]
 CHOICE_LIST_TYPES = ["mcq", "mrq", "oq", "opinion", "matching", "gmrq"]
 
 
+def part_fields() -> list[str]:
+    """Keys of a part that are read."""
+    return with_extra(PART_FIELDS, lambda t: t.reads)
+
+
 def root(doc: str = "doc") -> str:
     """Root keys as a struct; NULL unless the document is an object."""
     return field(doc, "$", variant_struct(ROOT_FIELDS))
@@ -44,7 +50,7 @@ def part(p: str) -> str:
         f"transform({listed('choices', CHOICE_FIELDS, CHOICE_LIST_TYPES)}, c -> CASE WHEN c IS NOT NULL THEN "
         f"named_struct('t', {string_of('c.type')}, " + ", ".join(f"'{f}', c.`{f}`" for f in CHOICE_FIELDS) + ") END)"
     )
-    leaves = ", ".join(f"'{f}', {p}.{f}" for f in PART_FIELDS)
+    leaves = ", ".join(f"'{f}', {p}.`{f}`" for f in part_fields())
     return (
         f"CASE WHEN {p} IS NOT NULL THEN named_struct({leaves}, 't', {string_of(f'{p}.type')}, "
         f"'cs', {choices}, "
@@ -55,5 +61,5 @@ def part(p: str) -> str:
 
 def parts(doc: str = "doc") -> str:
     """The parts as an array of structs; NULL unless ``parts`` is an array."""
-    leaves = field(doc, "$.parts", f"array<{variant_struct(PART_FIELDS)}>")
+    leaves = field(doc, "$.parts", f"array<{variant_struct(part_fields())}>")
     return f"transform({leaves}, p -> {part('p')})"
