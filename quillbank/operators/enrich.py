@@ -13,6 +13,8 @@ from quillbank.functions.variants import field, is_array, is_none, is_object, ki
 from quillbank.sources.documents import REFERENCE_COLUMNS, configure, parsed
 
 KEY, *VALUES = REFERENCE_COLUMNS
+#: Bits that a sketch of the table's ids has, dealt to rows of 4 kB: 8 MB in all, however many ids there are.
+SKETCH_BITS = 1 << 26
 ENRICHED, NO_ID, NO_MATCH, UNREADABLE = "enriched", "no_id", "no_match", "unreadable"
 
 # New root keys in the order they are added, each with the column or constant it takes.
@@ -85,12 +87,38 @@ def with_category(documents: DataFrame) -> DataFrame:
     }).withColumn("readable", F.expr("readable AND category IS NOT NULL"))
 
 
-def enrich(documents: DataFrame, reference: DataFrame, order: str = "file_order") -> DataFrame:
+def _slot(key: str) -> str:
+    return f"pmod(xxhash64({key}), {SKETCH_BITS}L) + 1"
+
+
+def id_sketch(first: DataFrame) -> DataFrame:
+    """(slot_row, bits): one bit for the hash of every id of ``first`` (join_key); at most ``SKETCH_BITS`` / 32768 rows."""
+    slots = first.selectExpr(f"{_slot('join_key')} AS slot")
+    return slots.groupBy(F.expr("bitmap_bucket_number(slot)").alias("slot_row")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits"))
+
+
+def with_chance(documents: DataFrame, sketch: DataFrame) -> DataFrame:
+    """Adds ``chance``: false only where the id of a document (has_id, join_key) is surely not among those of the sketch.
+
+    The sketch is broadcast, which its fixed size bounds, so documents stay where they are.
+    """
+    position = f"bitmap_bit_position({_slot('join_key')})"
+    byte = f"conv(hex(substring(bits, CAST({position} DIV 8 AS int) + 1, 1)), 16, 10)"
+    bit = f"shiftright(CAST({byte} AS int), CAST({position} % 8 AS int)) & 1"
+    placed = documents.withColumn("slot_row", F.expr(f"CASE WHEN has_id THEN bitmap_bucket_number({_slot('join_key')}) END"))
+    joined = placed.join(F.broadcast(sketch), "slot_row", "left")
+    return joined.withColumn("chance", F.expr(f"bits IS NOT NULL AND {bit} = 1")).drop("slot_row", "bits")
+
+
+def enrich(documents: DataFrame, reference: DataFrame, order: str = "file_order", few_matches: bool = False) -> DataFrame:
     """Documents with nine root keys taken from their first match.
 
     Adds ``category``, ``mapped_id``, ``status`` and ``enriched_json``.  Without an
     id or a match the text stays as it is; an unreadable document has none.
     Only the text goes through the join; what is found is parsed behind it.
+    With ``few_matches`` a sketch of the table's ids keeps documents without a match out of the join and its shuffle, at
+    the price of a second scan: worth it where the table is too large to be broadcast and most documents have no match.
     """
     configure(documents.sparkSession)
     docs = with_category(documents).withColumns({
@@ -99,7 +127,12 @@ def enrich(documents: DataFrame, reference: DataFrame, order: str = "file_order"
     }).drop("doc")
     first = first_matches(reference, order).select(
         F.lit(True).alias("has_id"), F.col("mapped_id").alias("join_key"), "match")
-    joined = docs.join(first, ["has_id", "join_key"], "left")
+    if few_matches:
+        docs = with_chance(docs, id_sketch(first))
+        apart = docs.where("NOT chance").withColumn("match", F.lit(None).cast(first.schema["match"].dataType)).drop("chance")
+        joined = docs.where("chance").drop("chance").join(first, ["has_id", "join_key"], "left").unionByName(apart)
+    else:
+        joined = docs.join(first, ["has_id", "join_key"], "left")
     status = case(
         ("NOT readable", lit(UNREADABLE)),
         ("mapped_id IS NULL", lit(NO_ID)),

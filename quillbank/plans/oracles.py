@@ -299,3 +299,4 @@ WITH l AS ({LINES}), u AS (SELECT id, unnest(lines) AS x, unnest(range(len(lines
 h AS (SELECT id, string_agg('<p>' || {ESC} || '</p>', chr(10) ORDER BY i) AS html FROM u GROUP BY id)
 SELECT id, id || '.json' AS rel_path, html AS stem, html AS second, id AS n FROM h""",
 } | file_queries.ORACLES
+ORACLES["enrich_few_matches"] = ORACLES["enrich_first_match"].replace("FROM lineitem)", "FROM lineitem WHERE l_quantity > 48)")

@@ -348,19 +348,30 @@ def normalized_text(spark, sf_dir):
 
 # ---- companion jobs ----
 
-def enrich_first_match(spark, sf_dir):
+def _orders_and_items(spark, sf_dir, items="true"):
     """Orders as documents, line items as the reference table with several rows per id."""
     raw = ("concat('{\"instance\":', k, ',\"parts\":[', array_join(array_repeat('{\"type\":\"frq\"}', CAST(k % 3 AS int)), ','), "
            "'],\"metadata\":{\"note\":\"', day, '\"', CASE WHEN k % 5 = 0 THEN '' ELSE concat(',\"mapped_id\":', id) END, "
            "'},\"grade\":9}')")
     docs = banks.as_bank(banks.orders(spark, sf_dir).selectExpr("*", f"{raw} AS raw"), "id")
-    reference = banks.table(spark, sf_dir, "lineitem").selectExpr(
+    reference = banks.table(spark, sf_dir, "lineitem").where(items).selectExpr(
         "CAST(l_orderkey AS string) AS base_question_id", "CAST(l_partkey AS string) AS section_id",
         "l_returnflag AS language", "CAST(l_suppkey AS string) AS subject",
         "CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE CAST(l_linenumber AS string) END AS grade",
         "l_linestatus AS country",
         "named_struct('a', l_linenumber, 'b', l_partkey, 'c', l_suppkey, 'd', l_quantity, 'e', l_extendedprice) AS file_order")
-    return en.enrich(docs, reference).select("id", "category", "status", "enriched_json")
+    return docs, reference
+
+
+def enrich_first_match(spark, sf_dir):
+    """The join of all documents."""
+    return en.enrich(*_orders_and_items(spark, sf_dir)).select("id", "category", "status", "enriched_json")
+
+
+def enrich_few_matches(spark, sf_dir):
+    """A table of the large items only: most documents have no match and bypass the join."""
+    docs, reference = _orders_and_items(spark, sf_dir, "l_quantity > 48")
+    return en.enrich(docs, reference, few_matches=True).select("id", "category", "status", "enriched_json")
 
 
 def category_routing(spark, sf_dir):
@@ -399,6 +410,6 @@ QUERIES = {f.__name__: f for f in (
     pre_errors_by_rule, conversion_errors_by_rule, errors_by_type, error_report, warnings_report,
     migrate_multi_part, choice_limit, post_errors_by_rule,
     filter_by_type, answer_checks, country_resolution, country_choice_limit, language_resolution,
-    id_consistency, common_metadata, value_tests, normalized_text, enrich_first_match,
+    id_consistency, common_metadata, value_tests, normalized_text, enrich_first_match, enrich_few_matches,
     category_routing, strip_p_attrs, clean_documents, clean_pages,
 )} | file_queries.QUERIES

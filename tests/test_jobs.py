@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quillbank import fixed_values as fv
 from quillbank.operators.clean import clean
-from quillbank.operators.enrich import enrich, first_matches
+from quillbank.operators.enrich import enrich, first_matches, id_sketch, with_chance
 from quillbank.sources import sinks
 from quillbank.sources.documents import filter_types, read_documents, read_reference, with_fields
 from tests.samples import document, part
@@ -97,6 +97,45 @@ def test_first_match_with_a_dominant_key(spark):
     assert "partial_min_by" in plan and "Window" not in plan
 
 
+def wide_bank(spark, n):
+    """Ids as numbers, texts, missing; a third of the documents share one id."""
+    raw = ("CASE WHEN id % 11 = 0 THEN '{' WHEN id % 7 = 0 THEN '{\"parts\":[]}' "
+           "ELSE concat('{\"metadata\":{\"mapped_id\":', CASE WHEN id % 3 = 0 THEN '5' WHEN id % 2 = 0 THEN concat('\"', id, '\"') ELSE CAST(id AS string) END, '}}') END")
+    return spark.range(n).selectExpr("concat('/', id, '.json') AS path", "concat(id, '.json') AS filename", f"{raw} AS raw").repartition(3)
+
+
+def test_enrichment_with_few_matches(spark):
+    """The sketch changes the plan, not a row; documents without a chance stay out of the join's exchange."""
+    reference = spark.range(0, 4000, 17).selectExpr("CAST(id AS string) AS base_question_id", "CAST(-id AS string) AS section_id", "'en' AS language",
+                                                    "'s' AS subject", "'g' AS grade", "'c' AS country", "id AS file_order")
+    reference = reference.unionAll(spark.createDataFrame([("5", "hot", "en", "s", "g", "c", 0)], reference.schema))
+    docs = wide_bank(spark, 5000)
+    rows = lambda df: sorted(df.collect(), key=repr)
+    usual, few = enrich(docs, reference), enrich(docs, reference, few_matches=True)
+    assert rows(usual) == rows(few) and few.columns == usual.columns
+    keyed = spark.range(200_000).selectExpr("CAST(id AS string) AS join_key", "id % 10 <> 0 AS has_id")
+    first = keyed.where("has_id AND join_key % 13 = 0")
+    got = with_chance(keyed, id_sketch(first)).groupBy("has_id", F.expr("has_id AND join_key % 13 = 0").alias("there"), "chance").count().collect()
+    seen = {(r.has_id, r.there, r.chance): r["count"] for r in got}
+    assert (True, True, False) not in seen and (False, False, True) not in seen
+    assert seen.get((True, False, True), 0) < 0.001 * seen[True, False, False]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = enrich(docs, reference, few_matches=True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    apart = plan[plan.rindex("NOT "):]
+    assert "Union" in plan and "SortMergeJoin" in plan and "BroadcastHashJoin" in plan and "hashpartitioning(has_id" not in apart
+
+
+def test_enrichment_by_an_empty_table(spark):
+    reference = spark.createDataFrame([], "base_question_id string, section_id string, language string, subject string, grade string, country string, file_order bigint")
+    got = enrich(wide_bank(spark, 50), reference, few_matches=True)
+    assert {r.status for r in got.collect()} == {"no_match", "no_id", "unreadable"} and got.count() == 50
+
+
 def test_clean_job(spark, tmp_path):
     write(tmp_path / "in", {"a/1.json": {"s": ["<p id='1'>x</p>"]}, "2.json": {"s": "x"}, "3.json": "{",
                             "4.json": '{"s": "\\u003cp id=1>x</p>"}'})
