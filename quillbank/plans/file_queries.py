@@ -50,7 +50,9 @@ def scan_files(spark, sf_dir):
 def routed_files(spark, sf_dir):
     """The migrated bank as files: a folder for each outcome, original bytes of what failed before the conversion's end."""
     folder, target = _folder(spark, sf_dir, QUESTION), scratch_folder(spark)
-    sinks.write_bank_files(classify(read_documents(spark, folder)), folder, target)
+    bank = scratch_folder(spark)
+    sinks.write_bank(classify(read_documents(spark, folder)), bank)
+    sinks.write_bank_files(spark.read.parquet(bank), folder, target)
     return _read_back(spark, target)
 
 

@@ -75,7 +75,10 @@ def _below(documents: DataFrame, base_path: str) -> Column:
 
 
 def write_bank_files(classified: DataFrame, base_path: str, folder: str) -> DataFrame:
-    """Payloads as files: a folder per outcome, below it the path that the document has below ``base_path``."""
+    """Payloads as files: a folder per outcome, below it the path that the document has below ``base_path``.
+
+    Give it the bank that ``write_bank`` has written, so that the rules do not run again.
+    """
     placed = F.concat_ws("/", "outcome", _below(classified, base_path))
     return write_files(classified, placed, F.col("payload"), folder)
 
