@@ -64,7 +64,9 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.allotments(table(spark, sf_dir, "documents")).drop("shards")
+    """`shards` names the output shard of each draw of a document, as the splitting tree deals them."""
+    planned = mixing.allotments(table(spark, sf_dir, "documents"))
+    return planned.withColumn("shards", F.array_join(F.col("shards").cast("array<string>"), ","))
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
