@@ -8,7 +8,7 @@ A page becomes a row of text blocks in page order. Each block is a node of a gra
 - edges join neighbours in the page and following blocks of the same parent; the nearer two blocks are in the tree, the
   more it costs to label them differently.
 
-The minimum cut, found by augmenting paths (maximum flow), is the cheapest labelling. Blocks whose own costs outweigh all their
+The minimum cut, found by shortest augmenting paths (maximum flow), is the cheapest labelling. Blocks whose own costs outweigh all their
 edges are labelled first, which never changes the minimum.
 
 The classifier is a logistic regression trained on at most `SAMPLE` pages, in the order of a hash of their urls, in one task: blocks
@@ -21,7 +21,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -57,6 +57,9 @@ CLOSES = {
 STOPS_CLOSING = frozenset("ul ol menu dir dl table body html".split())
 VOID_TAGS = frozenset("hr".split())
 BOILERPLATE_TAGS = frozenset("nav aside footer form fieldset dialog menu search button".split())
+#: A form around one of these is the page's or a part's, not one to fill in.
+PAGE_PARTS = frozenset("article main nav header footer h1".split())
+RAW_TAGS = frozenset("noscript template iframe object textarea select title svg math".split())
 CONTENT_TAGS = frozenset("article main".split())
 HEADING_TAGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 LEAF_TAGS = frozenset("address blockquote caption dt figcaption legend p pre summary".split())
@@ -67,17 +70,27 @@ BOILERPLATE_NAMES = frozenset(
     "pagination paywall popup promo promos promotion recommended recommendations related replies reply respond search "
     "share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar widget widgets".split()
 )
+#: Of these, what readers or advertisers wrote, also inside an article; and words that may stand beside them in an id.
+FOREIGN_NAMES = frozenset(
+    "ad ads adsense advert advertisement advertisements advertising adverts comment commentlist comments disqus newsletter promo promos "
+    "replies respond sponsor sponsored".split()
+)
+GENERIC_NAMES = frozenset(
+    "area body box bottom container content entry inline inner item layout left list main middle panel post reader right section side slot thread top "
+    "unit user wrap wrapper".split()
+)
 CONTENT_NAMES = frozenset("article articlebody content entry main post story".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
     r"|<(script|style)\b[^>]*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(noscript|template|iframe|object|textarea|select|title|svg|math)\b(?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+')*+>.*?</\2\s*>"
     r"|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+')*+>|[^>]*+(?:>|\Z))",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?|"[^"]*"|'[^']*'""")
+_RAW_ENDS = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW_TAGS}
+_FORM_MARKS = re.compile(rf"<(/?)(form|{'|'.join(sorted(PAGE_PARTS))})(?![^\s/>])", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
@@ -89,7 +102,6 @@ class Element:
     evidence: float
     inside: bool
     number: int
-    depth: int
 
 
 @dataclass
@@ -97,8 +109,10 @@ class TextBlock:
     text: str
     linked: int
     evidence: float
-    parents: tuple[int, ...]
     tag: str
+    parent: int  #: number of the element around the block's own
+    depth: int  #: elements open at the block, the root included
+    shared: int  #: how many of these were open all the way since the block before
 
 
 @dataclass
@@ -116,6 +130,32 @@ def attributes_of(text: str) -> dict[str, str]:
     return found
 
 
+def wrapping_forms(page: str) -> set[int]:
+    """Where the forms start that hold parts of a page."""
+    found: set[int] = set()
+    start, holds = -1, False
+    for m in _FORM_MARKS.finditer(page):
+        if m[2].lower() != "form":
+            holds = holds or not m[1]
+        elif m[1] or start < 0:
+            if start >= 0 and holds:
+                found.add(start)
+            start, holds = -1 if m[1] else m.start(), False
+    if start >= 0 and holds:
+        found.add(start)
+    return found
+
+
+def is_foreign(attributes: dict[str, str]) -> bool:
+    """Comments of readers and adverts: a class with such a word, or an id of such a word and generic ones only (an id can come from
+    the words of a heading)."""
+    for value in attributes.get("class", "").split():
+        if not FOREIGN_NAMES.isdisjoint(w.lower() for w in _PARTS.findall(value)):
+            return True
+    named = {w.lower() for w in _PARTS.findall(attributes.get("id", "")) if not w.isdigit()}
+    return bool(named & FOREIGN_NAMES) and named <= FOREIGN_NAMES | GENERIC_NAMES
+
+
 def is_hard(tag: str, attributes: dict[str, str], inside: bool) -> bool:
     """Boilerplate, or not shown, whatever it holds."""
     return (
@@ -129,16 +169,18 @@ def element_evidence(tag: str, text: str, above: float, inside: bool) -> tuple[f
     """What an element with the attributes `text` says of its own text, and whether it lies in content.
 
     Boilerplate by element, role or hiding stays so, inside content too. A class or id that names boilerplate is evidence: for
-    containers its parts count too, for leaves whole values only, for headings (whose ids come from their words) nothing.
+    containers its parts count too, for leaves whole values only, for headings (whose ids come from their words) nothing. Inside
+    content it is weak, but for names of what others than the author wrote.
     """
     if above <= -BOILERPLATE_EVIDENCE:
         return above, inside
     attributes = attributes_of(text)
     if is_hard(tag, attributes, inside):
         return -BOILERPLATE_EVIDENCE, inside
+    foreign = is_foreign(attributes)
     if tag in CONTENT_TAGS:
         if inside:
-            return above, True
+            return min(above, -NAMED_EVIDENCE) if foreign else above, True
         return (0.0 if above < 0 else CONTENT_EVIDENCE), True
     if tag in ("html", "body"):
         return above, inside
@@ -146,6 +188,8 @@ def element_evidence(tag: str, text: str, above: float, inside: bool) -> tuple[f
     parts = {w.lower() for value in given for w in _PARTS.findall(value)}
     content = bool(parts & CONTENT_NAMES)
     if tag not in HEADING_TAGS:
+        if inside and foreign:
+            return min(above, -NAMED_EVIDENCE), True
         whole = not BOILERPLATE_NAMES.isdisjoint(value.lower() for value in given)
         named = parts & BOILERPLATE_NAMES - ({"header"} if content else set())
         if whole and named and tag in LEAF_TAGS:
@@ -160,16 +204,22 @@ def element_evidence(tag: str, text: str, above: float, inside: bool) -> tuple[f
 def text_blocks(page: str) -> list[TextBlock]:
     """The texts between block tags, in page order, with white space made single and character references decoded."""
     blocks: list[TextBlock] = []
-    stack: list[Element] = [Element("", 0.0, False, 0, 0)]
+    stack: list[Element] = [Element("", 0.0, False, 0)]
+    opened: Counter[str] = Counter()
+    forms: set[int] | None = None
+    endless: set[str] = set()
     made = 0
+    shared = 1
     now = _Open()
     link = False
 
     def flush():
-        nonlocal now
+        nonlocal now, shared
         text = " ".join(html.unescape("".join(now.parts)).split())
         if text:
-            blocks.append(TextBlock(text, min(now.linked, len(text)), stack[-1].evidence, tuple(e.number for e in stack), stack[-1].tag))
+            own = stack[-1]
+            blocks.append(TextBlock(text, min(now.linked, len(text)), own.evidence, own.tag, stack[-2 if len(stack) > 1 else -1].number, len(stack), shared))
+            shared = len(stack)
         now = _Open()
 
     def add(text: str):
@@ -178,54 +228,75 @@ def text_blocks(page: str) -> list[TextBlock]:
             if link:
                 now.linked += len(text)
 
+    def drop(k: int) -> None:
+        nonlocal shared
+        opened.subtract(e.tag for e in stack[k:])
+        del stack[k:]
+        shared = min(shared, k)
+
     def close(tags: set[str] | frozenset, until: frozenset) -> None:
+        if not any(opened[t] for t in tags):
+            return
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag in tags:
-                del stack[k:]
+                drop(k)
                 return
             if stack[k].tag in until:
                 return
 
     at = 0
-    for m in _TAG.finditer(page):
+    while m := _TAG.search(page, at):
         add(page[at : m.start()])
         at = m.end()
-        if not m[4]:
+        if not m[3]:
+            continue
+        tag = m[3].lower()
+        if tag in RAW_TAGS and not m[2] and tag not in endless:
+            if end := _RAW_ENDS[tag].search(page, at):
+                at = end.end()
+            else:
+                endless.add(tag)
             continue
-        tag = m[4].lower()
         if tag == "a":
-            link = not m[3]
+            link = not m[2]
         if tag == "br":
             now.parts.append(" ")
         if tag not in BLOCK_TAGS:
             continue
         flush()
         link = False
-        if m[3]:
+        if m[2]:
             close({tag}, STOPS_CLOSING if tag not in STOPS_CLOSING else frozenset())
             continue
         if tag in CLOSES:
             close(CLOSES[tag], STOPS_CLOSING)
         elif tag not in ("html", "body"):
             if stack[-1].tag == "p":
-                stack.pop()
+                drop(len(stack) - 1)
         if tag in VOID_TAGS:
             continue
         made += 1
-        stack.append(Element(tag, *element_evidence(tag, m[5], stack[-1].evidence, stack[-1].inside), made, len(stack)))
+        above = stack[-1]
+        if tag == "form":
+            forms = wrapping_forms(page) if forms is None else forms
+            evidence, inside = (above.evidence, above.inside) if m.start() in forms else (-BOILERPLATE_EVIDENCE, above.inside)
+        else:
+            evidence, inside = element_evidence(tag, m[4], above.evidence, above.inside)
+        stack.append(Element(tag, evidence, inside, made))
+        opened[tag] += 1
     add(page[at:])
     flush()
     return blocks
 
 
 def features(blocks: list[TextBlock]) -> np.ndarray:
-    """Of each block: size, words, links, punctuation, capitals and place; nothing of the elements it lies in."""
+    """Of each block: size, words, links, punctuation, linked list items and headings; nothing of the elements it lies in."""
     out = np.zeros((len(blocks), 8))
     for k, b in enumerate(blocks):
         n, words = len(b.text), b.text.count(" ") + 1
         out[k] = (
             1, math.log1p(n), math.log1p(words), b.linked / n, sum(map(b.text.count, ".,;:!?")) / words,
-            b.text[-1] in ".!?\"'”»…", b.tag == "li", b.tag in ("h1", "h2", "h3", "h4", "h5", "h6"),
+            b.text[-1] in ".!?\"'”»…", (b.tag == "li") * b.linked / n, b.tag in ("h1", "h2", "h3", "h4", "h5", "h6"),
         )
     return out
 
@@ -250,18 +321,11 @@ def smoothness(blocks: list[TextBlock]) -> dict[tuple[int, int], float]:
     last: dict[int, int] = {}
     for k, b in enumerate(blocks):
         if k:
-            before = blocks[k - 1].parents
-            common = 0
-            for x, y in zip(before, b.parents):
-                if x != y:
-                    break
-                common += 1
-            edges[k - 1, k] = ADJACENCY * 0.5 ** max(0, len(before) + len(b.parents) - 2 * common - 2)
-        parent = b.parents[-2] if len(b.parents) > 1 else b.parents[-1]
-        if parent in last:
-            pair = last[parent], k
+            edges[k - 1, k] = ADJACENCY * 0.5 ** min(60, max(0, blocks[k - 1].depth + b.depth - 2 * b.shared - 2))
+        if b.parent in last:
+            pair = last[b.parent], k
             edges[pair] = edges.get(pair, 0) + PROXIMITY
-        last[parent] = k
+        last[b.parent] = k
     return edges
 
 
@@ -294,7 +358,7 @@ def minimum_cut(cost: list[float], edges: dict[tuple[int, int], float]) -> list[
 
 
 def _flow(rest: list[int], cost: list[float], near: list[dict[int, float]]) -> list[bool]:
-    """Maximum flow by shortest augmenting paths over the nodes that are left; True for those the source still reaches."""
+    """Maximum flow over the nodes that are left, by all shortest augmenting paths at a time; True for those the source still reaches."""
     source, sink = -1, -2
     room: dict[int, dict[int, float]] = {k: dict(near[k]) for k in rest}
     room[source], room[sink] = {}, {}
@@ -304,24 +368,35 @@ def _flow(rest: list[int], cost: list[float], near: list[dict[int, float]]) -> l
         elif cost[k] < 0:
             room[k][sink], room[sink][k] = -cost[k], 0.0
     while True:
-        came = {source: source}
+        level = {source: 0}
         line = deque([source])
-        while line and sink not in came:
+        while line and sink not in level:
             k = line.popleft()
             for other, free in room[k].items():
-                if free > 1e-9 and other not in came:
-                    came[other] = k
+                if free > 1e-9 and other not in level:
+                    level[other] = level[k] + 1
                     line.append(other)
-        if sink not in came:
-            return [k in came for k in rest]
-        path, k = [], sink
-        while k != source:
-            path.append((came[k], k))
-            k = came[k]
-        push = min(room[a][b] for a, b in path)
-        for a, b in path:
-            room[a][b] -= push
-            room[b][a] += push
+        if sink not in level:
+            return [k in level for k in rest]
+        onward = {k: [o for o in room[k] if level.get(o) == at + 1] for k, at in level.items()}
+        path = [source]
+        while path:
+            k = path[-1]
+            if k == sink:
+                push = min(room[a][b] for a, b in zip(path, path[1:]))
+                for a, b in zip(path, path[1:]):
+                    room[a][b] -= push
+                    room[b][a] += push
+                path = path[: next(i for i, (a, b) in enumerate(zip(path, path[1:])) if room[a][b] <= 1e-9) + 1]
+            elif onward.get(k):
+                if room[k][onward[k][-1]] > 1e-9:
+                    path.append(onward[k][-1])
+                else:
+                    onward[k].pop()
+            else:
+                path.pop()
+                if path:
+                    onward[path[-1]].pop()
 
 
 def main_text(page: str, weights: np.ndarray) -> tuple[str, list[TextBlock], list[bool]]:
