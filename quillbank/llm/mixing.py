@@ -15,6 +15,8 @@ Only tables of sources, blocks and quotas are sorted or joined as a whole; their
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillbank.llm.frames import cut, quoted
@@ -25,6 +27,9 @@ CAP = 2
 BLOCKS = 1024
 LEVELS = 4
 SEED = 11
+#: Words of the mix for a task that writes them, at least; with more data both tasks and their size grow by its root.
+TASK_WORDS = 1 << 21
+TASK_GROWTH = 32
 #: Rows of the table of blocks up to which it is broadcast (about 100 bytes each); beyond, it is joined by shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -106,15 +111,19 @@ def plan_blocks(sized: DataFrame, blocks: int = BLOCKS, levels: int = LEVELS, **
     ))
 
 
-def _planned(documents: DataFrame, blocks: int, levels: int, **rates) -> DataFrame:
-    """`documents` as column `row`, with size, block and what `plan_blocks` says of its block."""
+def pieces(words: float, shards: int) -> int:
+    """Into how many pieces each of `shards` shards goes, for a mix of so many words."""
+    return max(1, math.ceil(words / shards / max(TASK_WORDS, TASK_GROWTH * math.sqrt(words))))
+
+
+def _planned(documents: DataFrame, blocks: int, levels: int, **rates) -> tuple[DataFrame, DataFrame]:
+    """`documents` as column `row`, with size, block and what `plan_blocks` says of its block; and the plan alone."""
     rows = documents.select(F.struct(*[F.col(quoted(c)).alias(c) for c in documents.columns]).alias("row"))
     sized = rows.select("row", F.col("row.source").alias("source"), block_of(F.col("row.doc_id"), blocks).alias("block"), n_words(F.col("row.text")).alias("size"))
     plan = plan_blocks(sized.select("source", "block", "size"), blocks, levels, **rates)
     plan = plan.withColumnsRenamed({"source": "plan_source", "block": "plan_block"})
-    if plan.count() <= BROADCAST_ROWS:
-        plan = F.broadcast(plan)
-    return sized.join(plan, F.expr("source <=> plan_source AND block = plan_block")).drop("plan_source", "plan_block")
+    hinted = F.broadcast(plan) if plan.count() <= BROADCAST_ROWS else plan
+    return sized.join(hinted, F.expr("source <=> plan_source AND block = plan_block")).drop("plan_source", "plan_block"), plan
 
 
 def allotments(documents: DataFrame, blocks: int = BLOCKS, levels: int = LEVELS, **rates) -> DataFrame:
@@ -124,19 +133,23 @@ def allotments(documents: DataFrame, blocks: int = BLOCKS, levels: int = LEVELS,
     counted, at most twice its size. A null source is a source of its own, the last; a null doc_id hashes like a
     value; repeated rows are documents of their own. An empty table gives an empty result.
     """
-    planned = _planned(documents.select("doc_id", "source", "text"), blocks, levels, **rates)
+    planned, _ = _planned(documents.select("doc_id", "source", "text"), blocks, levels, **rates)
     taken = F.col("passes") * F.col("size") + F.round(F.col("part") * F.col("size")).cast("bigint")
     return planned.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"), "shards")
 
 
 def mix(documents: DataFrame, blocks: int = BLOCKS, levels: int = LEVELS, **rates) -> DataFrame:
     """The mix: the rows of `documents` as often as they are drawn, with `copy`, `taken` (words to read of it), `shard` and
-    `position`, the order inside the shard. These four replace columns of the same name. Rows of which no word is taken are absent.
+    `position`, the order inside the shard; a task writes a piece of one shard, in order. These four replace columns of the same name. Rows of which no word is taken are absent.
     """
-    planned = _planned(documents, blocks, levels, **rates)
+    planned, plan = _planned(documents, blocks, levels, **rates)
+    words = plan.groupBy("plan_source").agg(F.max("target").alias("target")).agg(F.sum("target")).first()[0] or 0
+    each = pieces(words, 2**levels)
     drawn = planned.select("row", "size", "passes", "part", F.posexplode("shards").alias("copy", "shard"))
     drawn = drawn.withColumn("taken", F.when(F.col("copy") < F.col("passes"), F.col("size")).otherwise(F.round(F.col("part") * F.col("size")).cast("bigint")))
     drawn = drawn.where("taken > 0").withColumn("position", F.xxhash64(F.lit(SEED), F.lit(-3), "shard", "row.doc_id", "copy"))
-    dealt = drawn.repartition("shard", F.shiftright("position", 60)).sortWithinPartitions("shard", "position")
+    piece = F.shiftright((F.shiftright("position", 32) + F.lit(1 << 31)) * F.lit(each), 32)  # the position's place among all, in equal parts
+    task = (F.col("shard") * F.lit(each) + piece).cast("int")
+    dealt = drawn.repartitionById(2**levels * each, task).sortWithinPartitions("shard", "position")
     own = ["copy", "taken", "shard", "position"]
     return dealt.select(*[F.col(f"row.{quoted(c)}").alias(c) for c in documents.columns if c not in own], *own)
