@@ -92,6 +92,17 @@ def test_substring_removal(frame, rows, bound, monkeypatch):
     assert kept.columns == frame(rows, clashing=True).columns and kept.count() == len(rows)
 
 
+def test_messages_stay_in_proportion_to_the_text():
+    rng = np.random.default_rng(2)
+    for size in (10**8, 5 * 10**8, 3 * 10**10, 3 * 10**11, 3 * 10**12, 10**14):
+        sizes = sub.Sizes(size, 13)
+        windows = size / sub.BYTES_A_WINDOW / sizes.blocks
+        span, cells = 1 << sizes.range_bits, max(1, int(windows / sizes.spans))
+        packed = sub.pack(np.sort(rng.integers(0, span, cells)), span)
+        assert windows <= 1 << 23 and span <= 1 << 27
+        assert sub.ROWS * sizes.blocks * min(sizes.spans, windows) * (len(packed) + 40) < 1.5 * size, size
+
+
 def test_packed_cells_come_back():
     cells = np.sort(np.array([0, 0, 1, 254, 255, 256, 510, 100_000, 100_000, 1 << 20]))
     for n in range(len(cells) + 1):

@@ -4,6 +4,7 @@ import itertools
 import os
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -48,6 +49,75 @@ def test_the_cut_decides_on_named_sections_in_an_article():
         assert ("A part of it." in hc.main_text(page, np.array([bias] + [0.0] * 7))[0]) == kept
 
 
+@pytest.mark.parametrize("page,want", [
+    ('<form id="aspnetForm"><header>Site</header><article><p>Text.</p><form class="mail"><label>Mail</label></form></article></form>', "Text."),
+    ("<FORM method=post><nav><a href=/>Home</a></nav><main><p>Text.</p></main>", "Text."),
+    ("<article><p>Text.</p><form><label>Your mail</label><button>Send</button></form><p>End.</p></article>", "Text.\nEnd."),
+    ('<form action="/find"><label>Find</label></form><article><h1>Head</h1><p>Text.</p></article>', "Head\nText."),
+    ('<article><p>Text.</p><div id="comment-12"><p>Reply.</p></div><ol class="comment-list"><li>Reply.</ol></article>', "Text."),
+    ('<article><p>Text.</p><div class="ad-slot">Buy.</div><p>End.</p><article class="comment"><p>Reply.</p></article></article>', "Text.\nEnd."),
+    ("<article><p>Text.</p><svg><title>No</title></svg><p>End.</p><svg></article>", "Text.\nEnd."),
+])
+def test_forms_comments_and_adverts(page, want):
+    for bias in (0.0, 3.0):
+        assert hc.main_text(page, np.array([bias] + [0.0] * 7))[0] == want
+
+
+@pytest.mark.parametrize("page", [
+    "<div>some words " * 20_000, "<p>a<svg>" * 20_000, "<div>" * 10_000 + "</li>" * 40_000, "<ul><li>x" * 10_000, "<form><h1>y" * 10_000, "<td><div>z" * 10_000,
+])
+def test_deep_and_long_pages_take_time_as_their_length(page):
+    started = time.process_time()
+    blocks = hc.main_text(page, np.zeros(8))[1]
+    assert time.process_time() - started < 20
+    assert sum(len(b.__dict__) for b in blocks) == 7 * len(blocks)
+
+
+def test_a_long_chain_of_open_blocks_is_cut_quickly():
+    n = 8000
+    started = time.process_time()
+    labels = hc.minimum_cut([0.9 if k % 2 else -0.9 for k in range(n)], {(k, k + 1): 1.0 for k in range(n - 1)})
+    assert time.process_time() - started < 10 and len(labels) == n
+
+
+#: Layouts without <article>, or with names that mislead; {} is the content, and all other words start with "zz".
+LAYOUTS = [
+    "<body>{}<div><a href=/>zzone zztwo</a> <a href=/>zzthree</a></div></body>",
+    "<div id=page><div><a href=/>zzhome</a></div><div>{}</div><div><a href=/>zzabout</a></div></div>",
+    "<div class=navbar><a href=/>zzhome</a></div><div class=columns>{}</div><footer>zzme</footer>",
+    "<table><tr><td><a href=/>zzhome</a></td><td>{}</td></tr></table>",
+    "<form id=f1><header>zzsite</header><div class=body>{}</div><footer>zzme</footer></form>",
+    "<div class=header><p>zzsite</p></div><section>{}</section><div class=related-posts><p>zzmore</p></div>",
+    "<main class=with-sidebar>{}</main><aside><p>zzpopular zzposts</p></aside>",
+    "<div class=post>{}<div class=share-buttons><a href=/>zzshare</a></div></div>",
+    "<div class=content><div class=ad-slot>zzbuy</div>{}<div id=comment-1><p>zzno, zzreally.</p></div></div>",
+    "<div id=main>{}<ol class=comment-list><li>zzfirst</ol></div>",
+]
+STORIES = [
+    "<h1>{}</h1><p>{}. {}.</p><p>{}, {}.</p>", "<h2>{}</h2><div>{}. {}.</div><ul><li>{}.<li>{}.</ul>", "<p>{}. {}.</p><section id=search><p>{}, {}. {}.</p></section>",
+    "<p>{}.</p><blockquote>{}. {}.</blockquote><p>{}. {}.</p>",
+]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="tables not present")
+def test_words_found_on_forty_kinds_of_pages(spark):
+    weights = hc.train(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"))
+    rng = random.Random(3)
+    right = found = wanted = by_cut = 0
+    for layout in LAYOUTS:
+        for story in STORIES:
+            parts = [" ".join(rng.choice(["winter", "river", "stone", "early", "walked", "under", "quiet", "market"]) for _ in range(rng.randint(9, 25))) for _ in range(5)]
+            body = story.format(*parts)
+            text, blocks, labels = hc.main_text(layout.format(body), weights)
+            got, want = Counter(re.findall(r"\w+", text)), Counter(re.findall(r"\w+", " ".join(parts)))
+            right += (got & want).total()
+            found += got.total()
+            wanted += want.total()
+            by_cut += sum(content != (b.evidence > 0) for b, content in zip(blocks, labels))
+    assert right >= 0.9 * found and right >= 0.9 * wanted, (right, found, wanted)
+    assert by_cut >= 50, by_cut
+
+
 def test_hidden_and_named_parts_still_go():
     parts = ["<p hidden>x</p>", "<div aria-hidden=true>x</div>", "<p style='display: none'>x</p>", '<ul class="tags"><li>x</ul>', '<div role="search">x</div>']
     page = "<article><p>Kept.</p>" + "".join(parts) + "</article>" + '<div class="related-posts"><p>x</p></div>'
@@ -139,6 +209,20 @@ def test_mix_meets_its_targets(frame, rows, blocks, levels):
     assert plain_rows(again, "doc_id", "size", "taken", "target") == sorted(((r.doc_id, r.size, r.taken, r.target) for r in got), key=repr)
 
 
+def test_tasks_of_the_mix_follow_its_words(frame, monkeypatch):
+    assert [mx.pieces(w, 16) for w in (0, 1e6, 1.25e8, 7.5e9, 2.5e13)] == [1, 1, 4, 170, 9766]
+    monkeypatch.setattr(mx, "TASK_WORDS", 8)
+    monkeypatch.setattr(mx, "TASK_GROWTH", 0)
+    df = frame([(k, "ab"[k % 2], "one two three") for k in range(200)])
+    mixed = mx.mix(df, 64, 1)
+    tasks = mixed.withColumn("task", F.spark_partition_id()).collect()
+    assert len(set(r.task for r in tasks)) > 20
+    assert all(len({r.shard for r in tasks if r.task == t}) == 1 for t in {r.task for r in tasks})
+    for shard in (0, 1):
+        own = [r.position for r in sorted((r for r in tasks if r.shard == shard), key=lambda r: r.task)]
+        assert own == sorted(own)
+
+
 def test_splitting_tree_is_exact(spark):
     quotas = spark.createDataFrame([(k, n) for k, n in enumerate([500, 0, 1, 37, 200])], "nth int, quota bigint").where("quota > 0")
     tree = mx.splitting_tree(quotas, 3).collect()
