@@ -5,7 +5,7 @@ with a smaller doc_id.
 
 Documents are dealt to blocks by a hash of their id, once; three passes read the same blocks.
 
-1. Every block counts its windows in a sketch of `ROWS` rows. It travels as the sorted cells it touched, some ten bits each;
+1. Every block counts its windows in a sketch of `ROWS` rows. It travels as the sorted cells it touched, ten to eighteen bits each;
    ranges of cells are added up in parallel over all blocks. A sketch only overestimates, so a window that is
    repeated anywhere has all its cells counted twice or more. Each block gets back a bit for each of its cells.
 2. Windows with all bits set are grouped exactly by 96 bits of hash, a range of hashes at a time. Each block first reduces
@@ -30,9 +30,14 @@ from quillbank.llm.frames import quoted, slices
 
 WINDOW = 13
 ROWS = 2
-#: Windows a block is meant to have, and cells and hashes of suspects of a range.
+#: Windows a block is meant to have, and cells and hashes of suspects of a range, up to a sketch of 2 ** `GROWS_FROM` cells. Beyond, a
+#: block grows by a bit for every three of the sketch and a range by one for every two, up to these many bits; else messages (one
+#: for each block and range) would grow with the square of the text.
 BLOCK_WINDOWS = 1 << 20
 RANGE_CELLS = 1 << 23
+GROWS_FROM = 33
+BLOCK_GROWTH = 3
+RANGE_GROWTH = 4
 #: Cells for each window, and bytes of text taken as one window; both bear on speed only.
 CELLS_A_WINDOW = 1.5
 BYTES_A_WINDOW = 6
@@ -73,17 +78,23 @@ def cells(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 
 def pack(sorted_cells: np.ndarray, span: int) -> bytes:
-    """Sorted cells below `span`: their low bytes, and a bit string in which ones count entries and zeros steps of the high part."""
-    high = np.zeros(len(sorted_cells) + (span >> 8) + 1, bool)
-    high[(sorted_cells >> 8) + np.arange(len(sorted_cells))] = True
-    return sorted_cells.astype(np.uint8).tobytes() + np.packbits(high).tobytes()
+    """Sorted cells below `span`: how many low bytes each has, these bytes, and a bit string in which ones count entries and zeros
+    steps of the high part. The fewer cells, the more low bytes, so a message of few cells is short."""
+    n = len(sorted_cells)
+    width = min((1, 2, 3, 4), key=lambda w: n * (8 * w + 1) + (span >> 8 * w))
+    high = np.zeros(n + (span >> 8 * width) + 1, bool)
+    high[(sorted_cells >> 8 * width) + np.arange(n)] = True
+    low = sorted_cells.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + low.tobytes() + np.packbits(high).tobytes()
 
 
 def unpack(packed: bytes, span: int) -> np.ndarray:
-    n = (8 * len(packed) - (span >> 8) - 1) // 9  # n low bytes and n + span/256 + 1 bits, rounded up to bytes
-    low = np.frombuffer(packed, np.uint8, n).astype(np.int64)
-    ones = np.flatnonzero(np.unpackbits(np.frombuffer(packed, np.uint8, offset=n)))
-    return low + ((ones - np.arange(n)) << 8)
+    width = packed[0]
+    n = (8 * (len(packed) - 1) - (span >> 8 * width) - 1) // (8 * width + 1)  # n times width bytes, and n + high + 1 bits rounded up to bytes
+    low = np.zeros((n, 8), np.uint8)
+    low[:, :width] = np.frombuffer(packed, np.uint8, n * width, 1).reshape(n, width)
+    ones = np.flatnonzero(np.unpackbits(np.frombuffer(packed, np.uint8, offset=1 + n * width)))
+    return low.view("<i8").ravel() + ((ones - np.arange(n)) << 8 * width)
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -116,9 +127,10 @@ class Sizes:
     def __init__(self, text_bytes: int, window: int):
         expected = max(1, text_bytes // BYTES_A_WINDOW)
         self.window = window
-        self.blocks = -(-expected // BLOCK_WINDOWS)
         self.bits = max(10, math.ceil(math.log2(expected * CELLS_A_WINDOW)))
-        self.range_bits = min(self.bits, int(math.log2(RANGE_CELLS)))
+        beyond = max(0, self.bits - GROWS_FROM)
+        self.blocks = -(-expected // (BLOCK_WINDOWS << min(BLOCK_GROWTH, -(-beyond // 3))))
+        self.range_bits = min(self.bits, int(math.log2(RANGE_CELLS)) + min(RANGE_GROWTH, -(-beyond // 2)))
         self.spans = 1 << (self.bits - self.range_bits)
 
     def split(self, touched: np.ndarray) -> list[np.ndarray]:
