@@ -63,6 +63,66 @@ PLAIN = "(VALUES " + ", ".join(
     for r, m in fv.MESSAGES.items() if "{" not in m.replace("{p}", "")) + ") AS m(rule_id, message)"
 
 
+
+def _each(first: int, last: int, text: str) -> list[str]:
+    return [text.replace("#", str(k)) for k in range(first, last + 1)]
+
+
+# What the mixed bank's faults make the messages say that name a value: rule, slot where it depends on it, and the texts in order; {type}
+# and {id} are the document's.
+NAMED_MESSAGES = [
+    ("V5", None, ["Part 1: Missing required field 'standalone'"]),
+    ("V6", None, ["Part 1: Part number 'n' (2) does not match its position"]),
+    ("V7", None, ["Part 1: Invalid type 'x-{type}'"]),
+    ("V9", None, ["Part 1 (mcq), Choice 1: Missing required field 'html_content'"]),
+    ("V10", None, _each(3, 4, "Part 1 (mrq), Choice #: Invalid choice type 'other'")),
+    ("V11", None, ["Part 1 (mcq), Choice 1: Invalid or empty 'html_content'"]),
+    ("V12", None, _each(1, 4, "Part 1 (mcq), Choice #: 'values' must be an array")),
+    ("V13", None, _each(1, 4, "Part 1 (mcq), Choice #: 'unit' must be null or a string")),
+    ("V14", None, ["Part 1 (mcq), Choice 1: 'index' must be a non-negative number"]),
+    ("V15", None, ["Part 1 (mcq), Choice 1: 'fixed_order' must be a positive number"]),
+    ("V16", None, _each(1, 4, "Part 1 (mcq), Choice #: 'last_order' must be a boolean")),
+    *[(rule, None, ["Part 1 ({type}): 'choices' must be a non-empty array"]) for rule in ("V17", "V20", "V29", "V53", "V55", "V58")],
+    ("V18", None, ["Part 1 (mcq): Must have exactly 1 key choice, found 0"]),
+    ("V21", None, ["Part 1 (mrq): Must have at least 2 key choices, found 0"]),
+    ("V35", None, _each(0, 2, "Part 1 (gapText): gap_text_key at index # must have a 'value' property")),
+    ("V36", None, ["Part 1 (gapText): 'correct_order' at index 0 must be a positive number"]),
+    ("V38", None, ["Part 1 (gapText): 'gap_text_keys' found: 1, expected at least: 2"]),
+    ("V39", None, ["Part 1 (gapText): 'correct_order' found: 1, expected: 2"]),
+    ("V42", None, ["Part 1 (string): answer at index 0 must be a string"]),
+    ("V45", None, ["Part 1 (string): guidelines[0] must be an object"]),
+    ("V46", None, _each(0, 1, "Part 1 (string): guidelines[#] missing required field 'student_answer'")),
+    ("V47", None, _each(0, 1, "Part 1 (string): guidelines[#].'student_answer' must be a string")),
+    ("V48", None, _each(0, 1, "Part 1 (string): guidelines[#] missing required field 'mark'")),
+    ("V49", None, ["Part 1 (string): guidelines[0].'mark' must be 1, 0, '1', or '0', found: '2'"]),
+    ("V50", None, ["Part 1 (string): guidelines[0].'mark' must be a string or integer, found: float"]),
+    ("V51", None, _each(0, 1, "Part 1 (string): guidelines[#] missing required field 'comment'")),
+    ("V52", None, _each(0, 1, "Part 1 (string): guidelines[#].'comment' must be a string")),
+    ("V56", None, ["Part 1 (matching): Must have exactly 2 groups, found 1"]),
+    ("V59", None, ["Part 1 (gmrq): Must have exactly 2 groups, found 1"]),
+    ("V60", None, ["Part 1 (gmrq): Group 1 must have exactly 1 key choice, found 0"]),
+    *[("V61", slot, [f"Part 1 (gmrq): Group 2 must have exactly 1 key choice, found {n}"]) for slot, n in ((10, 0), (11, 0), (12, 2))],
+    ("V62", None, _each(3, 4, "Part 1 (gmrq), Choice #: 'group' must be 1 or 2")),
+    ("V68", None, ["Part 1 (puzzle): Missing required field 'puzzleImage'"]),
+    ("V69", None, ["Part 1 (puzzle): 'puzzleRows' must be a string representing a number"]),
+    ("V71", None, ["Part 1 (puzzle): 'puzzleImageWidth' must be a string representing a number"]),
+    ("V73", None, ["Part 1 (puzzle): Expected 6 image pieces based on rows and columns, but found 4"]),
+    ("V74", None, ["Part 1 (puzzle): Piece at index 0 is missing or has invalid 'index'"]),
+    ("V75", None, _each(0, 3, "Part 1 (puzzle): Piece at index # is missing or has invalid 'src'")),
+    ("V80b", None, ["ID mismatch: mapped_id={id}, question_id=x{id}, filename={id}"]),
+    ("V80x", 29, ["'int' object has no attribute 'get'"]),
+    ("V82x", 29, ["'int' object has no attribute 'get'"]),
+    *[(rule, 30, ["'list' object has no attribute 'get'"]) for rule in ("V80x", "V81x", "V82x")],
+    ("V88", None, ["Error parsing root 'answer' field as HTML: unknown status keyword 'x' in marked section"]),
+    ("K8", 12, ["JSONata conversion failed for oq part: sort keys are neither all numbers nor all strings"]),
+    ("K8", 17, ["JSONata conversion failed for input_box part: value is not a number"]),
+    ("Q29", None, ["Part 1 (matching): 'items.A' is required", "Part 1 (matching): 'items.correct_answer' is required"]),
+]
+NAMED = "(VALUES " + ", ".join(
+    "('{}', {}, {}, '{}')".format(rule, "NULL" if slot is None else slot, k, text.replace("'", "''"))
+    for rule, slot, texts in NAMED_MESSAGES for k, text in enumerate(texts)) + ") AS v(rule_id, slot, k, text)"
+
+
 def _country_value(rank: str) -> str:
     """The normalised valid code of a word of the country bank, or NULL."""
     return f"(['eg', 'us', 'zz', 'sa', 'uk', NULL, NULL, NULL, NULL])[{rank} % 9 + 1]"
@@ -189,11 +249,12 @@ SELECT rule_id, CAST(sum(n) AS BIGINT) AS n_errors FROM staged WHERE error_type
 SELECT rule_id, CAST(sum(n) AS BIGINT) AS n_errors FROM staged WHERE error_type = '{fv.STAGE_CONVERSION}' GROUP BY 1""",
     "errors_by_type": MIXED + " SELECT error_type, CAST(sum(n) AS BIGINT) AS n_errors FROM staged GROUP BY 1",
     "error_report": MIXED + f"""
-SELECT id || '.json' AS filename, {QUESTION_ID} AS question_id, error_type, rule_id,
-  m.message, coalesce(failed, '') AS failed_field, CASE WHEN rule_id = 'K6' THEN 'None' ELSE '' END AS actual_value,
-  coalesce(wanted, '') AS expected_format
-FROM (SELECT s.id, d.slot, rule_id, error_type, unnest(range(s.n)) FROM staged s JOIN docs d ON d.id = s.id)
-LEFT JOIN {REPORTED} USING (rule_id) LEFT JOIN {PLAIN} USING (rule_id)""",
+SELECT id || '.json' AS filename, {QUESTION_ID.replace("slot", "e.slot")} AS question_id, error_type, e.rule_id AS rule_id,
+  coalesce(m.message, replace(replace(v.text, '{{type}}', ({TYPE_NAMES})[id % 13 + 1]), '{{id}}', CAST(id AS VARCHAR))) AS message,
+  coalesce(failed, '') AS failed_field, CASE WHEN e.rule_id = 'K6' THEN 'None' ELSE '' END AS actual_value, coalesce(wanted, '') AS expected_format
+FROM (SELECT s.id, d.slot AS slot, rule_id, error_type, unnest(range(s.n)) AS k FROM staged s JOIN docs d ON d.id = s.id) e
+LEFT JOIN {NAMED} ON v.rule_id = e.rule_id AND v.k = e.k AND coalesce(v.slot, e.slot) = e.slot
+LEFT JOIN {REPORTED} ON t.rule_id = e.rule_id LEFT JOIN {PLAIN} ON m.rule_id = e.rule_id""",
     "warnings_report": MIXED + f"""
 SELECT id || '.json' AS filename, {QUESTION_ID} AS question_id, 'V84' AS rule_id,
   'Root ''answer'' field for single-part question must contain a <p> tag, but found <div>' AS message FROM docs WHERE {WARNED}""",

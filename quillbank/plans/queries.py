@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from quillbank import fixed_values as fv
 from quillbank.functions import resolve as rs
 from quillbank.functions.html import html_outline, strip_p_attributes
-from quillbank.functions.sql import lits
 from quillbank.functions.text import normalize_text
 from quillbank.functions.variants import field, is_empty, is_falsy, is_integer, shown
 from quillbank.operators import convert as cv
@@ -189,15 +188,11 @@ def errors_by_type(spark, sf_dir):
     return reports.errors_by_type(_mixed(spark, sf_dir))
 
 
-# Rules whose message names nothing but the part, here always the first.
-PLAIN_MESSAGES = {r: m.replace("{p}", "1") for r, m in fv.MESSAGES.items() if "{" not in m.replace("{p}", "")}
-
-
 def error_report(spark, sf_dir):
-    """The error table without its timestamp; messages that name a value of the document are left out."""
+    """The error table without its timestamp."""
     return reports.errors(_mixed(spark, sf_dir)).selectExpr(
         "`Filename` AS filename", "`Question ID` AS question_id", "`Error Type` AS error_type", "rule_id",
-        f"CASE WHEN rule_id IN ({lits(PLAIN_MESSAGES)}) THEN `Error Message` END AS message",
+        "`Error Message` AS message",
         "`Failed Field` AS failed_field", "`Actual Value` AS actual_value", "`Expected Format` AS expected_format")
 
 
