@@ -110,7 +110,7 @@ def counting_bank(spark, sf_dir) -> DataFrame:
     digits = f"CASE WHEN id % 2 = 1 THEN translate(p_size, '0123456789', '{ARABIC_ZERO_TO_NINE}') ELSE p_size END"
     body = (f"concat('\"choices\":[],\"answer\":\"', {digits}, '\",\"grid_size\":\"', 1 + p_size % 9, '×', "
             "1 + id % 12, '\"')")
-    df = table(spark, sf_dir, "part").selectExpr(
+    df = spread(table(spark, sf_dir, "part")).selectExpr(
         "p_partkey AS id", "CAST(p_size AS string) AS p_size")
     return as_bank(df.selectExpr("*", f"{document(part(lit('counting'), body))} AS raw"), "id")
 
@@ -123,7 +123,7 @@ def puzzle_bank(spark, sf_dir) -> DataFrame:
             "'\",\"puzzleImage\":\"', p_brand, '\",\"puzzleImageWidth\":\"100\",\"puzzleImageHeight\":\"80\","
             "\"puzzleImageSplited\":[', array_join(transform(sequence(0, CAST(n AS int) - 1), j -> " + piece +
             "), ','), ']')")
-    df = table(spark, sf_dir, "part").selectExpr(
+    df = spread(table(spark, sf_dir, "part")).selectExpr(
         "p_partkey AS id", "p_size", "p_brand", "(1 + p_partkey % 4) * (1 + p_size % 3) AS n")
     return as_bank(df.selectExpr("*", f"{document(part(lit('puzzle'), body))} AS raw"), "id")
 
@@ -138,7 +138,7 @@ def input_bank(spark, sf_dir) -> DataFrame:
             "',\"constrains\":{\"type\":\"decimal\"', "
             "CASE WHEN user_id % 3 = 0 THEN ',\"sign\":\"mustBeExplicit\",\"must_have_exactly_ndp\":2' ELSE '' END, "
             "'}}')")
-    df = table(spark, sf_dir, "events").selectExpr("event_id AS id", "user_id", "event_type", "value")
+    df = spread(table(spark, sf_dir, "events")).selectExpr("event_id AS id", "user_id", "event_type", "value")
     return as_bank(df.selectExpr("*", f"{document(part(lit('input_box'), body))} AS raw"), "id")
 
 
