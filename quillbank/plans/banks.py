@@ -215,7 +215,7 @@ def line_bank(spark, sf_dir) -> DataFrame:
 def html_lines(spark, sf_dir) -> DataFrame:
     """The document's text as HTML paragraphs, every other one with attributes."""
     line = (f"concat(CASE WHEN i % 2 = 0 THEN '<p class=\"c\" id=\"i\">' ELSE '<p>' END, {escaped('x')}, '</p>')")
-    return table(spark, sf_dir, "documents").selectExpr(
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).selectExpr(
         "doc_id AS id", f"array_join(transform(split(text, '\\n'), (x, i) -> {line}), '\\n') AS html")
 
 

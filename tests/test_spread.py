@@ -27,6 +27,7 @@ def tables(spark, tmp_path_factory):
 
 @pytest.mark.parametrize("bank", [
     banks.mixed_bank, banks.several_bank, lambda *a: banks.choice_bank(*a, "matching"), banks.counting_bank, banks.puzzle_bank,
+    banks.html_lines,
 ])
 def test_rows_of_one_file_are_dealt_to_every_core(spark, tables, bank):
     tasks = 4 * spark.sparkContext.defaultParallelism
