@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quillbank.operators.clean import base_folders, clean, relative_path
 from quillbank.operators.enrich import enrich
-from quillbank.plans.banks import table
+from quillbank.plans.banks import spread, table
 from quillbank.plans.migrate import classify
 from quillbank.sources import sinks
 from quillbank.sources.documents import read_documents, read_reference, scan_documents
@@ -27,7 +27,7 @@ SUPPLIERS = "s_suppkey AS id", "s_nationkey AS nation", "s_name AS name"
 def _folder(spark, sf_dir, raw: str) -> str:
     """A folder with a document and a file of another kind for every supplier."""
     folder = scratch_folder(spark)
-    rows = table(spark, sf_dir, "supplier").selectExpr(*SUPPLIERS).selectExpr(f"{PLACE} AS place", f"{raw} AS raw")
+    rows = spread(table(spark, sf_dir, "supplier")).selectExpr(*SUPPLIERS).selectExpr(f"{PLACE} AS place", f"{raw} AS raw")
     both = rows.selectExpr("inline(array(struct(place, raw), struct(replace(place, '.json', '+.txt') AS place, '{}' AS raw)))")
     sinks.write_files(both, F.col("place"), F.col("raw"), folder)
     return folder
@@ -78,7 +78,7 @@ REFERENCE = (
 def _reference(spark, sf_dir) -> str:
     """Files of a few lines each, as exports come."""
     folder = scratch_folder(spark)
-    rows = table(spark, sf_dir, "supplier").selectExpr(*SUPPLIERS).where("id % 4 <> 0")
+    rows = spread(table(spark, sf_dir, "supplier")).selectExpr(*SUPPLIERS).where("id % 4 <> 0")
     sinks.write_files(rows.selectExpr("concat(id, '.csv') AS place", f"{REFERENCE} AS text"), F.col("place"), F.col("text"), folder)
     return folder
 
@@ -93,7 +93,7 @@ def enriched_files(spark, sf_dir):
     raw = ("concat('{\"z\":', id, ',\"grade\":9,\"parts\":[', get(array('', '{\"type\":\"frq\"}', '{},{}'), CAST(id % 3 AS int)), "
            "'],\"metadata\":{\"mapped_id\":', id, '}}')")
     folder, target = scratch_folder(spark), scratch_folder(spark)
-    rows = table(spark, sf_dir, "supplier").selectExpr(*SUPPLIERS).selectExpr("concat(id, '.json') AS place", f"{raw} AS raw")
+    rows = spread(table(spark, sf_dir, "supplier")).selectExpr(*SUPPLIERS).selectExpr("concat(id, '.json') AS place", f"{raw} AS raw")
     sinks.write_files(rows, F.col("place"), F.col("raw"), folder)
     enriched = enrich(read_documents(spark, folder, recursive=False), read_reference(spark, _reference(spark, sf_dir)))
     sinks.write_enriched_files(enriched, folder, target)

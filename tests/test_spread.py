@@ -5,7 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from quillbank.plans import banks
+from quillbank.plans import banks, file_queries
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +20,8 @@ def tables(spark, tmp_path_factory):
     spark.createDataFrame(
         [(None if n % 2 else 7, 1 + n % 50, "Brand#13") for n in range(2000)], "p_partkey bigint, p_size int, p_brand string",
     ).coalesce(1).write.parquet(f"{folder}/part.parquet")
+    spark.createDataFrame([(None if n % 2 else 7, 1, "s") for n in range(2000)], "s_suppkey bigint, s_nationkey bigint, s_name string"
+                          ).coalesce(1).write.parquet(f"{folder}/supplier.parquet")
     spark.createDataFrame([(None if n % 2 else 7, "a\nb") for n in range(2000)], "doc_id bigint, text string"
                           ).coalesce(1).write.parquet(f"{folder}/documents.parquet")
     return folder
@@ -35,3 +37,13 @@ def test_rows_of_one_file_are_dealt_to_every_core(spark, tables, bank):
     assert len(dealt) == tasks
     assert sum(r["count"] for r in dealt) == 2000
     assert max(r["count"] for r in dealt) < 2 * 2000 / tasks
+
+
+def test_files_of_one_table_file_are_written_by_every_core(spark, tables, monkeypatch):
+    given = []
+    monkeypatch.setattr(file_queries.sinks, "write_files", lambda documents, *rest: given.append(documents))
+    file_queries._folder(spark, tables, "'{}'")
+    file_queries._reference(spark, tables)
+    for documents in given:
+        assert documents.select(F.spark_partition_id()).distinct().count() == 4 * spark.sparkContext.defaultParallelism
+    assert len(given) == 2
